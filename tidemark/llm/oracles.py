@@ -3,6 +3,8 @@
 #: One space for each run of ASCII white space.
 _NORM = "regexp_replace(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')"
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL = {
     "op5_exact_dedup": f"""
         with rows as (select doc_id, {_NORM} as norm from documents),
@@ -10,4 +12,15 @@ SQL = {
         select r.doc_id, g.keep_id, g.group_size, r.doc_id = g.keep_id as kept, sha256(r.norm) as text_sha256
         from rows r join groups g using (norm)
     """,
+    "op10_minhash_near_dedup": f"""
+        with recursive words as (select doc_id, regexp_extract_all({_LOWER}, '[^ \\t\\n\\x0B\\f\\r]+') as w from documents),
+             sets as (select doc_id, case when len(w) = 0 then [] else
+                        list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) end as s from words),
+             items as (select doc_id, len(s) as n, unnest(s) as shingle from sets),
+             links as (select a.doc_id as a, b.doc_id as b from items a join items b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+                       group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+             reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on r.b = l.a)
+        select s.doc_id, len(s.s)::bigint as n_shingles, r.component_id, s.doc_id = r.component_id as kept
+        from sets s join (select a as doc_id, min(b) as component_id from reach group by a) r using (doc_id)
+    """,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
 from .exact_dedup import exact_dedup
+from .minhash import near_duplicates
 from .packing import pack_documents
 
 
@@ -25,8 +26,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op5_exact_dedup)}
+    return {f.__name__: f for f in (op3_best_fit_packing, op5_exact_dedup, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
