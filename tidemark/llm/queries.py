@@ -11,6 +11,9 @@ from .exact_dedup import exact_dedup
 from .minhash import near_duplicates
 from .packing import pack_documents
 
+from .pieces import piece_digests
+from .sharding import stratified_shards
+
 
 def _tokenizer(name: str) -> str:
     import public_tokenizers
@@ -22,16 +25,24 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op4_stratified_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified_shards(read_table(spark, sf_dir, "documents")).drop("source", "position")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op5_exact_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
