@@ -23,4 +23,13 @@ SQL = {
         select s.doc_id, len(s.s)::bigint as n_shingles, r.component_id, s.doc_id = r.component_id as kept
         from sets s join (select a as doc_id, min(b) as component_id from reach group by a) r using (doc_id)
     """,
+    "op8_exact_top_k": """
+        with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+                   where vec_id is not null and len(embedding) > 0
+                     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+             scored as (select a.vec_id as query_id, b.vec_id, list_dot_product(a.e, b.e)::bigint as score
+                        from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where a.vec_id % 50 = 0),
+             ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+        select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
 }

@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read_table
 from .exact_dedup import exact_dedup
+from .html_text import extract_pages
 from .minhash import near_duplicates
 from .packing import pack_documents
 
 from .pieces import piece_digests
 from .sharding import stratified_shards
+from .topk import exact_top_k
 
 
 def _tokenizer(name: str) -> str:
@@ -37,12 +40,20 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op8_exact_top_k, op9_html_extraction, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
