@@ -14,6 +14,7 @@ from .minhash import near_duplicates
 from .packing import pack_documents
 
 from .pieces import piece_digests
+from .quality import quality_scores
 from .sharding import stratified_shards
 from .topk import exact_top_k
 
@@ -24,6 +25,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
@@ -53,7 +58,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op8_exact_top_k, op9_html_extraction, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op2_quality_classifier, op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op8_exact_top_k, op9_html_extraction, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
