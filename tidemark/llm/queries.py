@@ -13,6 +13,7 @@ from .html_text import extract_pages
 from .minhash import near_duplicates
 from .packing import pack_documents
 
+from .pii import find_pii, pii_digests
 from .pieces import piece_digests
 from .quality import quality_scores
 from .sharding import stratified_shards
@@ -25,6 +26,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digests(find_pii(read_table(spark, sf_dir, "documents")))
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -58,7 +63,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_classifier, op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op8_exact_top_k, op9_html_extraction, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op8_exact_top_k, op9_html_extraction, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
