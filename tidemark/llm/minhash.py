@@ -9,12 +9,13 @@ Search.
 1. Documents with equal shingle sets are one class from the start; only its smallest id goes on.
 2. Bands of five registers are hashed to band buckets.  In each, every member is paired with the smallest member, the
    pivot: as many pairs as members, never all pairs.
-3. Pairs whose collision-corrected Jaccard estimate is far below the threshold (six standard deviations) go; the
+3. Pairs whose collision-corrected Jaccard estimate is far below the threshold (five standard deviations) go; the
    others are confirmed on the full shingle sets, cut again from the texts.
 4. Components are formed.  What can still be missing are links between members of a bucket that lie in different
    components and neither of which is the pivot.  Buckets with such members are compared block by block on the
-   registers, so that a bucket of any size is dealt over many tasks; again only pairs that the estimate leaves are
-   confirmed.  Then components are formed anew.
+   registers; the estimate joins components into clusters.  Inside a cluster, again block by block, pairs of different
+   components that the estimate leaves are confirmed on the full sets, until none are left.  A group of any size is
+   dealt over many tasks, and only links that connect are handed on.  Then components are formed anew.
 So every pair that shares a bucket is compared or already connected; there is no cap on buckets or partners.  With 51
 bands of five, a pair at the threshold of 0.75 shares no bucket with a probability of 1e-6.
 
@@ -27,13 +28,13 @@ Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import map_arrow, staged
 from .components import connected_components
@@ -105,10 +106,9 @@ def estimate(matches: np.ndarray, sizes_a: np.ndarray, sizes_b: np.ndarray, regi
     return (matches - chance) / (1 - chance)
 
 
-def least_estimate(threshold: float, sizes_a: np.ndarray, sizes_b: np.ndarray, registers: int) -> np.ndarray:
-    """Six standard deviations below the threshold, with half of the registers that the smaller set can fill."""
-    free = np.minimum(registers, np.minimum(sizes_a, sizes_b)) / 2
-    return threshold - 6 * np.sqrt(threshold * (1 - threshold) / np.maximum(free, 1e-9))
+def least_estimate(threshold: float, registers: int) -> float:
+    """Five standard deviations below the threshold; borrowed registers widen the deviation by less than a fifth."""
+    return threshold - 5 * 1.2 * (threshold * (1 - threshold) / registers) ** 0.5
 
 
 def _sketches(docs: DataFrame, width: int, registers: int, rows: int) -> DataFrame:
@@ -153,7 +153,7 @@ def _likely(pairs: DataFrame, sketches: DataFrame, threshold: float, registers:
             na, nb = (batch[c].to_numpy() for c in ("na", "nb"))
             left, right = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, registers) for c in ("sa", "sb"))
             guess = estimate((left == right).mean(axis=1), na, nb, registers)
-            keep = pa.array(guess >= least_estimate(threshold, na, nb, registers))
+            keep = pa.array(guess >= least_estimate(threshold, registers))
             return {c: batch[c].filter(keep) for c in ("a", "b")}
 
         return work
@@ -190,32 +190,70 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, threshold: tuple[i
     return map_arrow(joined, each, f"a {kind}, b {kind}", 256)
 
 
-def _across(members: DataFrame, threshold: float, registers: int, block: int = 256) -> DataFrame:
-    """Pairs of members (bucket, id, component, n_shingles, sketch) of one bucket, of different components, that the
-    estimate leaves; buckets are cut into blocks, and each pair of blocks is one group."""
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+def _blocks(members: DataFrame, key: str, block: int) -> DataFrame:
+    """Deal the members of each key into blocks, and copy each member to the pairs of blocks that it is part of."""
+    sizes = members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = members.join(sizes, key).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    kind = members.schema["id"].dataType.simpleString()
+    return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "other")
+
+
+def _spanning(table: pa.Table, registers: int, threshold: float, accept: Callable[[int, int], bool] | None) -> tuple[list, list]:
+    """Links between the components of one pair of blocks: no pair is tried that is already connected."""
+    own, i, j = (table[c].to_numpy() for c in ("own", "i", "j"))
+    ids, root, n = table["id"].to_numpy(), table["component"].to_numpy().copy(), table["n_shingles"].to_numpy()
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, registers)
+    least, one_block = least_estimate(threshold, registers), i[0] == j[0]
+    columns, a, b = np.flatnonzero(own == j[0]), [], []
+    for r in np.flatnonzero(own == i[0]):
+        fit = (root[columns] != root[r]) & (np.minimum(n[columns], n[r]) >= threshold * np.maximum(n[columns], n[r]))
+        if one_block:
+            fit &= ids[columns] > ids[r]
+        near = columns[fit]
+        if len(near):
+            guess = estimate((sketch[near] == sketch[r]).mean(axis=1), np.full(len(near), n[r]), n[near], registers)
+            for c in near[guess >= least]:
+                if root[c] != root[r] and (accept is None or accept(r, c)):
+                    a.append(ids[r])
+                    b.append(ids[c])
+                    root[root == root[c]] = root[r]
+    return a, b
+
+
+def _across(members: DataFrame, threshold: float, registers: int, block: int = 1024) -> DataFrame:
+    """Links by estimate that connect members (bucket, id, component, n_shingles, sketch) of one bucket."""
+    kind = to_arrow_type(members.schema["id"].dataType)
 
     def compare(table: pa.Table) -> pa.Table:
-        own, i, j = (table[c].to_numpy() for c in ("own", "i", "j"))
-        ids, component, n = (table[c].to_numpy() for c in ("id", "component", "n_shingles"))
-        sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, registers)
-        rows, columns = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        found = []
-        for r in rows:
-            c = columns[(component[columns] != component[r]) & (ids[columns] > ids[r] if i[0] == j[0] else True)]
-            if len(c):
-                size = np.full(len(c), n[r])
-                guess = estimate((sketch[c] == sketch[r]).mean(axis=1), size, n[c], registers)
-                c = c[guess >= least_estimate(threshold, size, n[c], registers)]
-                found += [(min(ids[r], x), max(ids[r], x)) for x in ids[c]]
-        a, b = zip(*found, strict=True) if found else ((), ())
-        return pa.table({"a": pa.array(a, table["id"].type), "b": pa.array(b, table["id"].type)})
-
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}").distinct()
+        a, b = _spanning(table, registers, threshold, None)
+        return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
+
+    name = members.schema["id"].dataType.simpleString()
+    return _blocks(members, "bucket", block).groupBy("bucket", "i", "j").applyInArrow(compare, f"a {name}, b {name}")
+
+
+def _settled(clusters: DataFrame, width: int, fraction: tuple[int, int], registers: int, block: int = 1024) -> DataFrame:
+    """Confirmed links between the components of each cluster (cluster, id, component, n_shingles, sketch, text)."""
+    kind = to_arrow_type(clusters.schema["id"].dataType)
+
+    def compare(table: pa.Table) -> pa.Table:
+        texts, sets = table["text"], {}
+
+        def cut(k: int) -> frozenset:
+            if k not in sets:
+                sets[k] = frozenset(shingles(texts[k].as_py(), width).tolist())
+            return sets[k]
+
+        def accept(r: int, c: int) -> bool:
+            x, y = cut(int(r)), cut(int(c))
+            both = len(x & y)
+            return fraction[1] * both >= fraction[0] * (len(x) + len(y) - both)
+
+        a, b = _spanning(table, registers, fraction[0] / fraction[1], accept)
+        return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
+
+    name = clusters.schema["id"].dataType.simpleString()
+    return _blocks(clusters, "cluster", block).groupBy("cluster", "i", "j").applyInArrow(compare, f"a {name}, b {name}")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (75, 100), registers: int = 255, rows: int = 5) -> DataFrame:
@@ -245,11 +283,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = staged(mixed, "minhash-mixed")
     if not mixed.isEmpty():
         inside = open_.join(mixed, "bucket").join(first.select("id", "n_shingles", "sketch"), "id")
-        inside = staged(inside, "minhash-inside")
-        more = staged(_across(inside, ratio, registers), "minhash-across")
-        more = staged(_confirmed(more, docs, width, threshold), "minhash-more-links")
+        across = staged(_across(staged(inside, "minhash-inside"), ratio, registers), "minhash-across")
+        clusters = connected_components(links.union(across)).withColumnRenamed("component", "cluster")
+        clusters = staged(clusters.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "minhash-clusters")
+        several = clusters.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("cluster")
+        several = clusters.join(several, "cluster").join(first.select("id", "n_shingles", "sketch"), "id").join(docs, "id")
+        more = staged(_settled(several, width, threshold, registers), "minhash-more-links")
         if not more.isEmpty():
-            labels = connected_components(reduce(DataFrame.unionByName, [links, more]))
+            labels = connected_components(links.union(more))
 
     by_class = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
     by_class = staged(by_class, "minhash-class-labels")
