@@ -297,3 +297,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = sketched.select("id", "n_shingles", "class").join(by_class, "class", "left")
     out = out.withColumn("component_id", F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("component", "id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **search) -> DataFrame:
+    """The documents that stay, one for each component, with their own columns.
+
+    Documents with a null id are linked with nothing and all stay.
+    """
+    kept = near_duplicates(docs, id_col, text_col, **search).where("kept").select(F.col(id_col).alias("kept_id")).where("kept_id is not null")
+    columns = [docs[c] for c in docs.columns]
+    rows = docs.select(docs[id_col].alias("id"), F.struct(*columns).alias("row"))
+    named = rows.join(staged(kept, "minhash-kept"), F.col("id") == F.col("kept_id"), "left_semi")
+    return named.unionByName(rows.where("id is null")).select("row.*")

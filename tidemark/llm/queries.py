@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .exact_dedup import exact_dedup
 from .html_text import extract_pages
+from .lm_scoring import pseudo_likelihood
 from .minhash import near_duplicates
 from .packing import pack_documents
 
@@ -50,6 +51,10 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op7_masked_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo_likelihood(read_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -63,7 +68,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op8_exact_top_k, op9_html_extraction, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_pii, op2_quality_classifier, op3_best_fit_packing, op4_stratified_sharding, op5_exact_dedup, op6_sentencepiece, op7_masked_pseudo_likelihood, op8_exact_top_k, op9_html_extraction, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
