@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -42,7 +41,7 @@ def scoped_upsert(table: VersionedTable, batch: DataFrame, keys: Sequence[str],
     version = table.manifest()["version"]
     batch = newest_by_key(batch.select(names), keys, newest).cache()
     try:
-        first, last, undated, _ = batch.agg(F.min(F.to_date(day_of)), F.max(F.to_date(day_of)), F.count_if(F.col(day_of).isNull()), F.count(F.lit(1))).first()
+        first, last, undated = batch.agg(F.min(F.to_date(day_of)), F.max(F.to_date(day_of)), F.count_if(F.col(day_of).isNull())).first()
         if first is None:
             existing = table.read()
         else:
@@ -61,8 +60,8 @@ def scoped_upsert(table: VersionedTable, batch: DataFrame, keys: Sequence[str],
             days = {r[0] for r in changed.select(old_day).union(changed.select(F.to_date(day_of))).distinct().collect()}
             named = sorted(NO_DAY if d is None else d.isoformat() for d in days)
             today = F.to_date(day_of)
-            inside = today.isin([d for d in days if d is not None]) if any(days) else F.lit(False)
-            inside = F.coalesce(inside, F.lit(None in days))
+            dated = [d for d in days if d is not None]
+            inside = F.when(today.isNull(), F.lit(None in days)).otherwise(today.isin(dated) if dated else F.lit(False))
             # an updated row may have left its day: the days it left and those it came to are both rewritten
             whole = judged.where(inside)
             before = table.read(days=named).count()
@@ -76,7 +75,3 @@ def scoped_upsert(table: VersionedTable, batch: DataFrame, keys: Sequence[str],
             judged.unpersist()
     finally:
         batch.unpersist()
-
-
-def days_between(first: dt.date, last: dt.date) -> int:
-    return (last - first).days + 1

@@ -46,11 +46,10 @@ class Loader:
         self.table = VersionedTable.create(self.spark, f"{self.folder}/bronze", BRONZE, "created_date")
 
     def land(self, pages: DataFrame) -> DataFrame:
-        """Write source rows as they came, below raw/ingest_date=<day>, and read that very batch back."""
-        batch = uuid.uuid4().hex
-        rows = pages.withColumns({"ingest_date": F.lit(f"{self.now():%Y-%m-%d}"), "batch": F.lit(batch)})
-        rows.write.mode("append").partitionBy("ingest_date", "batch").parquet(f"{self.folder}/raw")
-        return self.spark.read.schema(pages.schema).parquet(f"{self.folder}/raw/ingest_date={self.now():%Y-%m-%d}/batch={batch}")
+        """Write source rows as they came, below raw/ingest_date=<day>/batch=<id>, and read that very batch back."""
+        folder = f"{self.folder}/raw/ingest_date={self.now():%Y-%m-%d}/batch={uuid.uuid4().hex}"
+        pages.write.parquet(folder)
+        return self.spark.read.schema(pages.schema).parquet(folder)
 
     def load(self, label: str, where: str, order: str) -> dict:
         """Fetch a window, land it, decode it, upsert it."""
