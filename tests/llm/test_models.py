@@ -1,0 +1,95 @@
+import numpy as np
+import pytest
+
+from tidemark.llm.lm_scoring import Vocabulary, pseudo_likelihood, train_network, window_counts
+from tidemark.llm.quality import estimate_prior, fit_quality, keep_quality, posterior_by_score, quality_scores, text_statistics
+from tidemark.llm.queries import queries
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    rows = {r.doc_id: r for r in queries()["op2_quality_classifier"](spark, FOLDER).where("held_out").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    good, bad = (np.array([rows[i].score for i, q in labels.items() if i in rows and q == k]) for k in (1, 0))
+    assert np.mean(good[:, None] > bad[None, :]) > 0.98
+    assert np.mean(good >= 0.3) > 0.98 and np.mean(bad >= 0.3) < 0.1
+
+
+def test_labels_of_the_held_out_fold_are_not_read(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.quality import held_out
+
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    changed = labels.withColumn("quality", F.when(held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    first, second = ({r.doc_id: r.score for r in quality_scores(docs, x).collect()} for x in (labels, changed))
+    assert first == second
+
+
+def test_quality_edges(spark, crowded, no_rows):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    rows = quality_scores(crowded, none).collect()
+    assert len(rows) == crowded.count()
+    assert {r.doc_id: r.score for r in rows if r.doc_id in (3, 4, 6, 7)} == {3: 0.0, 4: 0.0, 6: 0.0, 7: 0.5}
+    odd = spark.createDataFrame([(1, 1), (None, 1), (2, None), (99, 1), (1, 1), (7, 1)], "doc_id long, quality int")
+    assert quality_scores(crowded, odd).count() == crowded.count() and quality_scores(no_rows, odd).count() == 0
+    assert keep_quality(crowded, none).columns == crowded.columns
+    assert not text_statistics(" \n").any() and len(text_statistics("one")) == len(text_statistics("x y z\nx y z"))
+
+
+def test_prior_and_curve():
+    r = np.random.default_rng(1)
+    positive, unlabelled = r.normal(3, 1, 4000), np.concatenate([r.normal(3, 1, 2800), r.normal(-3, 1, 1200)])
+    assert estimate_prior(positive, unlabelled) == pytest.approx(0.7, abs=0.04)
+    at, chance = posterior_by_score(positive, unlabelled, 0.7)
+    assert (np.diff(chance) >= 0).all() and np.interp(3, at, chance) > 0.9 and np.interp(-3, at, chance) < 0.1
+
+
+def test_negatives_are_found_without_negative_labels():
+    r = np.random.default_rng(2)
+    size = len(text_statistics("a"))
+    good, bad = r.normal(0, 1, (9000, size)).astype(np.float32), r.normal(1.5, 1, (3000, size)).astype(np.float32)
+    model = fit_quality(good[:3000], np.concatenate([good[3000:6000], bad[:1000]]))
+    assert model.prior == pytest.approx(0.75, abs=0.05)
+    assert np.mean(model.score(good[6000:]) >= 0.5) > 0.95 and np.mean(model.score(bad[1000:]) >= 0.5) < 0.05
+
+
+def brute_scores(vocabulary, table, text):
+    words = (text or "").encode().split()
+    ids = [0, *(vocabulary.ids.get(w, vocabulary.class_of(w)) for w in words), 0]
+    return sum(float(table[ids[k - 1] * vocabulary.size + ids[k + 1], ids[k]]) for k in range(1, len(ids) - 1))
+
+
+def test_pseudo_likelihood_equals_brute_force(docs):
+    texts = ["the cat sat on the mat", "the dog sat on the mat", None, "", "Zebra! 12 é"] * 6
+    table = docs(*texts)
+    vocabulary = Vocabulary([w for w, _ in sorted({w: sum(t.encode().split().count(w) for t in texts if t) for t in texts if t for w in t.encode().split()}.items(), key=lambda x: (-x[1], x[0]))][:5])
+    counts = window_counts(table, vocabulary)
+    assert counts.sum() == sum(len((t or "").split()) for t in texts)
+    logp = train_network(counts)
+    assert np.allclose(np.exp(logp).sum(axis=1), 1, atol=1e-3)
+    rows = pseudo_likelihood(table, frequent=5).orderBy("doc_id").collect()
+    for r, t in zip(rows, texts, strict=True):
+        assert r.n_tokens == len((t or "").split()) and r.log_likelihood == pytest.approx(brute_scores(vocabulary, logp, t), rel=1e-3, abs=1e-3)
+        assert (r.mean_log_likelihood is None) == (not t)
+
+
+def test_both_sides_beat_word_frequencies(spark):
+    """On documents that it hasn't seen, the network predicts tokens better than their frequencies do."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    from tidemark.llm.lm_scoring import word_counts
+
+    train, rest = docs.where("doc_id % 5 <> 0"), docs.where("doc_id % 5 = 0")
+    top = word_counts(train).orderBy("n", ascending=False).limit(95).collect()
+    vocabulary = Vocabulary([bytes(r["word"]) for r in top])
+    seen, held = window_counts(train, vocabulary), window_counts(rest, vocabulary)
+    share = np.log((seen.sum(axis=0) + 1) / (seen.sum() + len(seen[0])))
+    logp = train_network(seen)
+    assert (held * logp).sum() / held.sum() > (held.sum(axis=0) * share).sum() / held.sum() + 0.05
+
+
+def test_lm_edges(crowded, no_rows):
+    rows = pseudo_likelihood(crowded, frequent=5).collect()
+    assert len(rows) == crowded.count() and {r.log_likelihood for r in rows if r.doc_id in (3, 4, 6)} == {0.0}
+    assert pseudo_likelihood(no_rows, frequent=5).count() == 0
