@@ -289,9 +289,11 @@ SQL: dict[str, str] = {
     "A17_touch_frequencies": f"{_RAW} select updated_at, count(*) as n from bronze group by 1 having count(*) > 1",
     "J16_missing_references": f"{_STAR} select 'agency' as dimension, count(*) filter (where agency_key is null) as missing from fact union all select 'complaint_type', count(*) filter (where complaint_type_key is null) from fact union all select 'location', count(*) filter (where location_key is null) from fact",
     "PF9_repeated_keys": "select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1",
-    "Q26_upsert": """with ranked as (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_quantity desc, l_extendedprice desc) as rn from lineitem),
-        target as (select l_orderkey, l_linenumber, l_shipdate as created_date, l_quantity from ranked where rn = 1 and l_orderkey % 3 <> 0),
-        batch as (select l_orderkey, l_linenumber, l_shipdate as created_date, case when l_orderkey % 5 = 0 then l_quantity + 1 else l_quantity end as l_quantity from ranked where rn = 1 and l_orderkey % 2 = 0)
+    "Q26_upsert": """with ranked as (
+            select *, row_number() over (partition by l_orderkey, l_linenumber
+                order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_quantity desc, l_extendedprice desc, l_discount desc, l_returnflag desc, l_linestatus desc) as rn from lineitem),
+        target as (select l_orderkey, l_linenumber, l_shipdate as created_date, l_quantity from ranked where rn = 1 and l_returnflag <> 'N'),
+        batch as (select l_orderkey, l_linenumber, l_shipdate as created_date, case when l_discount > 0.05 then l_quantity + 1 else l_quantity end as l_quantity from ranked where rn = 1 and l_linestatus = 'O')
         select coalesce(b.l_orderkey, t.l_orderkey) as l_orderkey, coalesce(b.l_linenumber, t.l_linenumber) as l_linenumber, coalesce(b.created_date, t.created_date) as created_date,
             coalesce(b.l_quantity, t.l_quantity) as l_quantity,
             case when b.l_orderkey is null then 'kept' when t.l_orderkey is null then 'inserted' when t.l_quantity is distinct from b.l_quantity then 'updated' else 'same' end as change

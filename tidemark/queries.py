@@ -172,13 +172,15 @@ def _repeated(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("Q26_upsert")
 def _upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """A table and a batch made of the order lines: what the upsert makes of each row."""
-    columns = ["l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_partkey", "l_suppkey", "l_extendedprice"]
-    lines = prepared(spark).read.parquet(f"{folder}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    keys = columns[:2]
-    rows = newest_by_key(lines, keys, "l_shipdate").select(*keys, F.col("l_shipdate").alias("created_date"), "l_quantity")
-    batch = rows.where("l_orderkey % 2 = 0").withColumn("l_quantity", F.when(F.col("l_orderkey") % 5 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
-    return changes(rows.where("l_orderkey % 3 <> 0"), batch, keys).drop("old")
+    """A table (lines that were returned or accepted) and a batch (lines still open, some restated): what becomes of each row."""
+    lines = prepared(spark).read.parquet(f"{folder}/lineitem.parquet")
+    lines = lines.select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus")
+    keys = ["l_orderkey", "l_linenumber"]
+    newest = newest_by_key(lines, keys, "l_shipdate").withColumnRenamed("l_shipdate", "created_date")
+    columns = [*keys, "created_date", "l_quantity"]
+    restated = F.when(F.col("l_discount") > 0.05, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    batch = newest.where("l_linestatus = 'O'").withColumn("l_quantity", restated).select(columns)
+    return changes(newest.where("l_returnflag <> 'N'").select(columns), batch, keys).drop("old")
 
 
 def queries() -> dict[str, Query]:
