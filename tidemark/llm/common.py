@@ -32,12 +32,15 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
+def staged(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     This cuts the lineage: an executor that is lost later costs no recomputation above this point.  The files go
-    when the driver's JVM ends.
+    when the driver's JVM ends.  rows: a bound on the number of rows, if one is known; a small table is then written
+    as a few files, not as one for each shuffle partition.
     """
+    if rows is not None:
+        df = df.coalesce(rows // 5_000 + 1)
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -262,38 +262,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketched = staged(_sketches(docs, width, registers, rows), "minhash-sketches")
     classes = sketched.where("class is not null and id is not null").groupBy("class").agg(F.min("id").alias("rep"))
-    classes = staged(classes, "minhash-classes")
+    n = sketched.count()
+    classes = staged(classes, "minhash-classes", n)
     first = staged(
         sketched.join(classes.withColumn("id", F.col("rep")), ["class", "id"]).select("id", "n_shingles", "sketch", "bands"),
         "minhash-representatives",
+        n,
     )
     banded = first.select(F.explode("bands").alias("bucket"), "id")
     shared = banded.groupBy("bucket").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = staged(shared, "minhash-buckets")
-    members = staged(banded.join(shared, "bucket").where("id <> pivot"), "minhash-members")
+    shared = staged(shared, "minhash-buckets", n * (registers // rows) // 2)
+    m = shared.agg(F.coalesce(F.sum(F.col("members") - 1), F.lit(0))).first()[0]
+    members = staged(banded.join(shared, "bucket").where("id <> pivot"), "minhash-members", m)
 
     pairs = members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    likely = staged(_likely(pairs, first, ratio, registers), "minhash-likely")
-    links = staged(_confirmed(likely, docs, width, threshold), "minhash-links")
-    labels = connected_components(links)
+    likely = staged(_likely(pairs, first, ratio, registers), "minhash-likely", m)
+    links = staged(_confirmed(likely, docs, width, threshold), "minhash-links", m)
+    found = links.count()
+    labels = connected_components(links, 2 * found)
 
     open_ = members.where("members > 2").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = staged(open_.select("bucket", "id", "component"), "minhash-open")
+    open_ = staged(open_.select("bucket", "id", "component"), "minhash-open", m)
     mixed = open_.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
-    mixed = staged(mixed, "minhash-mixed")
+    mixed = staged(mixed, "minhash-mixed", m)
     if not mixed.isEmpty():
         inside = open_.join(mixed, "bucket").join(first.select("id", "n_shingles", "sketch"), "id")
-        across = staged(_across(staged(inside, "minhash-inside"), ratio, registers), "minhash-across")
-        clusters = connected_components(links.union(across)).withColumnRenamed("component", "cluster")
-        clusters = staged(clusters.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "minhash-clusters")
+        across = staged(_across(staged(inside, "minhash-inside", m), ratio, registers), "minhash-across")
+        clusters = connected_components(links.union(across), 2 * (found + across.count())).withColumnRenamed("component", "cluster")
+        clusters = staged(clusters.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "minhash-clusters", n)
         several = clusters.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("cluster")
         several = clusters.join(several, "cluster").join(first.select("id", "n_shingles", "sketch"), "id").join(docs, "id")
         more = staged(_settled(several, width, threshold, registers), "minhash-more-links")
         if not more.isEmpty():
-            labels = connected_components(links.union(more))
+            labels = connected_components(links.union(more), 2 * (found + more.count()))
 
     by_class = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
-    by_class = staged(by_class, "minhash-class-labels")
+    by_class = staged(by_class, "minhash-class-labels", n)
     out = sketched.select("id", "n_shingles", "class").join(by_class, "class", "left")
     out = out.withColumn("component_id", F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("component", "id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
