@@ -107,7 +107,10 @@ def with_candidates(docs: DataFrame, text: Column, name: str) -> DataFrame:
     """Add a column of judged candidates, in order of start and kind."""
     own = F.struct("*")
     rows = docs.select(own.alias("row"), F.coalesce(text, F.lit("")).alias("text"))
-    cut = [F.split("text", pattern, -1).alias(f"p{k}") for k, (_, _, pattern) in enumerate(_PATTERNS)]
+    rows = rows.withColumn("digit", F.col("text").rlike("[0-9]"))
+    # what each pattern's matches contain: most texts need no pattern at all
+    needs = ["contains(text, '@')", "digit", "digit", "contains(text, '+')", "text rlike '[dD][oO][tT]'", "digit"]
+    cut = [F.when(F.expr(need), F.split("text", pattern, -1)).otherwise(F.array("text")).alias(f"p{k}") for k, ((_, _, pattern), need) in enumerate(zip(_PATTERNS, needs, strict=True))]
     rows = rows.select("row", "text", *cut)
     found = [F.when(F.size(f"p{k}") > 1, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias(f"m{k}") for k, (_, _, pattern) in enumerate(_PATTERNS)]
     rows = rows.select("row", *[f"p{k}" for k in range(len(_PATTERNS))], *found)
