@@ -55,3 +55,26 @@ def test_lag_bridges_missing_months_but_the_year_join_does_not(spark):
     shifted = {(r.item, r.month) for r in checks.failed_rows(h).where("check_name like '%shift'").collect()}
     assert ("T", dt.datetime(2026, 3, 1)) in shifted  # against January, as February has no rows
     assert [r.month for r in detectors.composition_drift(h).collect()] == [dt.datetime(2026, 1, 1)]
+
+
+def test_assertions_find_what_is_wrong(spark):
+    from tidemark.plans import assertions
+
+    base = {"agency": "A", "agency_name": "n", "complaint_type": "T", "community_board": "1", "borough": "B", "status": "Closed", "created_date": dt.datetime(2026, 1, 3), "closed_date": dt.datetime(2026, 1, 1)}
+    h = Warehouse(bronze(spark, base | {"unique_key": "1"}, base | {"unique_key": "1"}, base | {"unique_key": "2", "status": None}, base | {"unique_key": "3", "created_date": None}), CONFIG)
+    found = {r.assertion: (r.failures, r.status) for r in assertions.model_assertions(h, closed_before_created=5).collect()}
+    assert found["closed_before_created"] == (3, "warn") and found["repeated_unique_key"] == (1, "error")
+    assert found["null_is_closed"] == (1, "error") and found["null_date_key"] == (1, "error")
+    assert found["rows_lost_in_staging"] == found["unmatched_agency_key"] == (0, "pass")
+    card = spark.createDataFrame([("contract_enforced", "contract", "dim_agency", 9.0, "odd", dt.date(2026, 1, 1))] * 2, "check_name string, category string, grain string, measured_value double, status string, run_date date")
+    found = {r.assertion: r.failures for r in assertions.scorecard_assertions(card, {"dim_agency": h.agencies}).collect()}
+    assert found == {"wrong_column_counts": 2, "unknown_categories": 0, "unknown_statuses": 2, "repeated_checks": 1}
+
+
+def test_the_remote_warehouse_must_be_asked_for():
+    from tidemark.sources.target import warehouse_uri
+
+    assert warehouse_uri({"KEY": "x"}, "local", "remote", ("KEY",)) == "local"
+    assert warehouse_uri({"KEY": "x", "TIDEMARK_REMOTE": "1"}, "local", "remote", ("KEY",)) == "remote"
+    with pytest.raises(RuntimeError, match="KEY"):
+        warehouse_uri({"TIDEMARK_REMOTE": "1"}, "local", "remote", ("KEY",))

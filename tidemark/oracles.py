@@ -287,6 +287,23 @@ SQL: dict[str, str] = {
     "ST1_watermark_window": f"{_RAW} select unique_key, updated_at from bronze where updated_at >= timestamp '2001-06-01 00:00:00' - interval 48 hour and updated_at < timestamp '2001-08-01 03:00:00' and created_date >= timestamp '2001-05-01 00:00:00'",
     "F22_anchor": "select event_id, case when extract(hour from ts) < 3 then date_trunc('day', ts) - interval 1 day + interval 3 hour else date_trunc('day', ts) + interval 3 hour end as anchored from events",
     "A17_touch_frequencies": f"{_RAW} select updated_at, count(*) as n from bronze group by 1 having count(*) > 1",
+    "A17_touch_lags": f"{_RAW}, l as (select status, epoch(updated_at)::bigint - epoch(created_date)::bigint as x from bronze) select status, min(x) as least, median(x) as median, max(x) as greatest from l group by 1",
+    "U3_shared_parts": "select l_partkey from lineitem where l_returnflag = 'R' intersect select l_partkey from lineitem where l_linestatus = 'O'",
+    "J16_model_assertions": f"""{_STAR}, found as (
+        select 'closed_before_created' as assertion, count(*) filter (where closed_date < created_date) as failures from fact
+        union all select 'hours_of_censored_requests', count(*) filter (where is_censored and resolution_hours is not null) from fact
+        {" ".join(f"union all select 'null_{c}', count(*) filter (where {c} is null) from fact" for c in "unique_key date_key created_date is_closed is_censored is_settled is_undated_closure has_valid_coordinates".split())}
+        union all select 'rows_lost_in_staging', abs((select count(*) from staged) - (select count(*) from bronze))
+        union all select 'repeated_unique_key', count(*) from (select unique_key from fact group by 1 having count(*) > 1)
+        union all select 'unmatched_date_key', count(*) from fact where date_key not between date '1995-01-01' and date '2001-12-31'
+        union all select unnest(['unmatched_agency_key', 'unmatched_complaint_type_key', 'unmatched_location_key', 'repeated_agency_key', 'repeated_complaint_type_key', 'repeated_location_key', 'repeated_date_key']), 0)
+        select assertion, failures, case when failures = 0 then 'pass' when assertion = 'closed_before_created' and failures <= 3500 then 'warn' else 'error' end as status from found""",
+    "J13_scorecard_assertions": f"""{_WHOLE}, found as (
+        select 'wrong_column_counts' as assertion, count(*) filter (where check_name = 'contract_enforced' and measured_value <> try_cast(split_part(threshold_description, ' ', 1) as double)) as failures from scorecard
+        union all select 'unknown_categories', count(*) filter (where category not in ('contract', 'unit', 'distributional', 'detector')) from scorecard
+        union all select 'unknown_statuses', count(*) filter (where status not in ('pass', 'warn', 'fail', 'acknowledged', 'info')) from scorecard
+        union all select 'repeated_checks', count(*) from (select check_name, grain, run_date from scorecard group by all having count(*) > 1))
+        select assertion, failures, case when failures = 0 then 'pass' else 'error' end as status from found""",
     "J16_missing_references": f"{_STAR} select 'agency' as dimension, count(*) filter (where agency_key is null) as missing from fact union all select 'complaint_type', count(*) filter (where complaint_type_key is null) from fact union all select 'location', count(*) filter (where location_key is null) from fact",
     "PF9_repeated_keys": "select l_orderkey, l_linenumber, count(*) as n from lineitem group by 1, 2 having count(*) > 1",
     "Q26_upsert": """with ranked as (

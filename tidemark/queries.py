@@ -11,9 +11,10 @@ from .functions.numbers import rounded
 from .functions.time import anchor_column, naive_utc
 from .operators.history import merged
 from .operators.upsert import changes, newest_by_key
-from .plans import checks, detectors, metrics, scorecard, serving
+from .plans import assertions, checks, detectors, metrics, scorecard, serving
 from .plans.models import Warehouse, recent_slice
 from .session import prepared, scratch_folder, written
+from .sources import probes
 from .sources.sample import SAMPLE, sample_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,7 +84,9 @@ _of_house("Q28_undated_by_month", serving.undated_by_month)
 _of_house("Q28_missing_by_month", serving.missing_by_month)
 _of_house("SC15_recent_slice", lambda h: recent_slice(h.bronze, 90).select("unique_key", "created_date"))
 _of_house("SC18_grouped_counts", lambda h: h.bronze.groupBy("status", F.hour("created_date").cast("bigint").alias("hour")).agg(F.count(F.lit(1)).alias("n")))
-_of_house("A17_touch_frequencies", lambda h: h.bronze.groupBy("updated_at").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+_of_house("A17_touch_frequencies", lambda h: probes.stamp_frequencies(h.bronze, "updated_at").where("n > 1"))
+_of_house("A17_touch_lags", lambda h: probes.lags(h.bronze, "created_date", "updated_at", "status"))
+_of_house("J16_model_assertions", assertions.model_assertions)
 
 
 def _accepted(spark: SparkSession) -> DataFrame:
@@ -115,6 +118,7 @@ def _history(h: Warehouse) -> DataFrame:
 
 
 _of_house("Q16_scorecard", _scorecard)
+_of_house("J13_scorecard_assertions", lambda h: assertions.scorecard_assertions(_scorecard(h), scorecard.tables_of(h)))
 _of_house("Q17_history_merge", _history)
 _of_house("Q24_latest_scorecard", lambda h: serving.latest_scorecard(written(_history(h))))
 _of_house("Q24_scorecard_trend", lambda h: serving.scorecard_trend(_history(h)))
@@ -164,6 +168,13 @@ def _references(spark: SparkSession, folder: str) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("missing")) for d in keys])).alias("m")).select("m.*")
 
 
+@_query("U3_shared_parts")
+def _shared(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts that occur both among returned and among open lines."""
+    lines = prepared(spark).read.parquet(f"{folder}/lineitem.parquet")
+    return probes.page_overlap(lines.where("l_returnflag = 'R'"), lines.where("l_linestatus = 'O'"), "l_partkey")
+
+
 @_query("PF9_repeated_keys")
 def _repeated(spark: SparkSession, folder: str) -> DataFrame:
     lines = prepared(spark).read.parquet(f"{folder}/lineitem.parquet")
