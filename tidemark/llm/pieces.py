@@ -18,7 +18,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Callable
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,27 +55,41 @@ class ChunkEncoder:
         newline = not any("\n" in p and len(p) > 1 for p in pieces)
         self.chunk = re.compile("\n[^ \n]*| +[^ \n]*" if newline else " +[^ ]*")
         self.mark = self.library.piece_to_id(MARK)
-        self.table: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.decimals = [str(k) for k in range(len(pieces))]
+        # ids with which a chunk of one leading space, or a newline chunk, begins, and no other place does
+        self.begins = np.array([p.startswith(MARK) for p in pieces])
+        if newline:
+            self.begins[self.library.encode("\n")[1:2]] = True
+        self.table: dict[str, tuple[int, ...]] = {}
         self.table_limit = table_limit
 
     def _learn(self, chunks: set[str]) -> None:
+        """Segment the chunks that are new, all in one text where the ids show where each begins."""
         new = [c for c in chunks if c not in self.table]
-        # the library puts one marker before each text; it stands for the chunk's first space
-        ids = self.library.encode([c if c[0] == "\n" else c[1:] for c in new], num_threads=1)
-        for c, own in zip(new, ids, strict=True):
-            own = own[1:] if c[0] == "\n" else own or [self.mark]
-            self.table[c] = tuple(own), ",".join(map(str, own))
+        plain = [c for c in new if not c.startswith("  ") and len(c) > 1]
+        if plain:
+            # the library puts one marker before the text: it stands for the first chunk's space
+            text = "".join(plain)
+            ids = np.array(self.library.encode(text[1:]) if text[0] == " " else self.library.encode(text)[1:])
+            at = np.flatnonzero(self.begins[ids])
+            if len(at) == len(plain) and at[0] == 0:
+                ids, ends = ids.tolist(), [*at.tolist()[1:], len(ids)]
+                self.table.update(zip(plain, (tuple(ids[x:y]) for x, y in zip(at.tolist(), ends, strict=True)), strict=True))
+                new = [c for c in new if c not in self.table]
+        for c, own in zip(new, self.library.encode([c if c[0] == "\n" else c[1:] for c in new], num_threads=1), strict=True):
+            self.table[c] = tuple(own[1:] if c[0] == "\n" else own or [self.mark])
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], str]]:
         """For each text its ids, and the ids in decimal, joined by commas."""
-        if not self.by_chunks:
-            return [(ids, ",".join(map(str, ids))) for ids in self.library.encode(texts, num_threads=1)]
-        split = [self.chunk.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
-        if len(self.table) > self.table_limit:
-            self.table.clear()
-        self._learn(set().union(*split))
-        found = [[self.table[c] for c in chunks] for chunks in split]
-        return [([i for ids, _ in f for i in ids], ",".join([s for _, s in f])) for f in found]
+        if self.by_chunks:
+            split = [self.chunk.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
+            if len(self.table) > self.table_limit:
+                self.table.clear()
+            self._learn(set().union(*split))
+            found = [list(chain.from_iterable(map(self.table.__getitem__, chunks))) for chunks in split]
+        else:
+            found = self.library.encode(texts, num_threads=1)
+        return [(ids, ",".join(map(self.decimals.__getitem__, ids))) for ids in found]
 
     def decode(self, ids: list[int]) -> str:
         return self.library.decode(ids) if ids else ""
