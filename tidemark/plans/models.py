@@ -177,3 +177,7 @@ class Warehouse:
             self.__dict__[name] = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
         self.__dict__.pop("described", None)
         return self
+
+    def use_tables(self, other: Warehouse) -> None:
+        """Read the tables that another warehouse over the same rows has written."""
+        self.__dict__.update({name: other.__dict__[name] for name in ("agencies", "types", "locations", "dates", "fact")})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,18 +16,36 @@ from .plans import assertions, checks, detectors, metrics, scorecard, serving
 from .plans.models import Warehouse, recent_slice
 from .session import prepared, scratch_folder, written
 from .sources import probes
-from .sources.sample import SAMPLE, sample_bronze
+from .sources.files import Store
+from .sources.sample import SAMPLE, SOURCES, sample_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
 def house(spark: SparkSession, folder: str, **changed: object) -> Warehouse:
-    import dataclasses
-
+    """The models as views over the bronze table."""
     return Warehouse(sample_bronze(prepared(spark), folder), dataclasses.replace(SAMPLE, **changed))
 
 
+_BUILT: dict[tuple, Warehouse] = {}
+
+
+def marts(spark: SparkSession, folder: str, **changed: object) -> Warehouse:
+    """The models as tables, built once for a session, a folder and the files in it.
+
+    Detectors, checks, metrics and serving tables read these: as views, each of them would build the fact again.
+    """
+    made = house(spark, folder, **changed)
+    files = tuple(Store(spark, folder).stamps(f"{t}.parquet") for t in SOURCES)
+    # of the parameters, only these go into the tables
+    key = (spark.sparkContext.applicationId, folder, files, made.config.as_of, made.config.timezone, made.config.settlement_days)
+    if key not in _BUILT:
+        _BUILT[key] = house(spark, folder, **changed).materialise(scratch_folder(spark))
+    made.use_tables(_BUILT[key])
+    return made
+
+
 def _query(name: str) -> Callable[[Query], Query]:
     def add(f: Query) -> Query:
         _QUERIES[name] = f
@@ -35,8 +54,14 @@ def _query(name: str) -> Callable[[Query], Query]:
     return add
 
 
-def _of_house(name: str, plan: Callable[[Warehouse], DataFrame], **changed: object) -> None:
-    _QUERIES[name] = lambda spark, folder: _plain(plan(house(spark, folder, **changed)))
+def _of_house(name: str, plan: Callable[[Warehouse], DataFrame]) -> None:
+    """A query over the models as views."""
+    _QUERIES[name] = lambda spark, folder: _plain(plan(house(spark, folder)))
+
+
+def _of_marts(name: str, plan: Callable[[Warehouse], DataFrame], **changed: object) -> None:
+    """A query over the models as tables."""
+    _QUERIES[name] = lambda spark, folder: _plain(plan(marts(spark, folder, **changed)))
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -58,35 +83,35 @@ _of_house("Q5_dim_complaint_type", lambda h: h.types)
 _of_house("Q6_dim_location", lambda h: h.locations)
 _of_house("Q7_dim_date", lambda h: h.dates)
 _of_house("Q8_fact", lambda h: h.fact)
-_of_house("Q9_undated_closure_rate", detectors.undated_closure_rate)
-_of_house("Q9_undated_closure_rate_one_sigma", detectors.undated_closure_rate, rate_sigmas=1.0)
-_of_house("J8_undated_closure_rate_by_join", detectors.undated_closure_rate_by_join)
-_of_house("Q10_composition_drift", detectors.composition_drift)
-_of_house("Q11_vocabulary_drift", detectors.vocabulary_drift)
-_of_house("Q12_settlement_completeness", detectors.settlement_completeness)
-_of_house("Q13_mass_touch", detectors.mass_touch)
-_of_house("Q14_distribution_checks", lambda h: _six(checks.scorecard_checks(h), "measured_value"))
-_of_house("Q15_distribution_failed_rows", checks.failed_rows)
-_of_house("Q18_overview", lambda h: _six(serving.overview(h), "p90_resolution_hours"))
-_of_house("Q19_agency_performance", lambda h: _six(serving.agency_performance(h), "p90_resolution_hours"))
-_of_house("Q20_geo_equity", serving.geo_equity)
-_of_house("Q20_missing_coordinates", serving.missing_coordinates)
-_of_house("Q21_seasonality", serving.seasonality)
-_of_house("Q22_naive_vs_correct", serving.naive_vs_correct)
-_of_house("Q23_mass_touch_fired", lambda h: detectors.mass_touch(h).where("fired"))
-_of_house("Q24_type_share", lambda h: serving.type_share(serving.seasonality(h), "1-URGENT"))
-_of_house("Q24_monthly_volume", lambda h: serving.monthly_volume(serving.seasonality(h)))
+_of_marts("Q9_undated_closure_rate", detectors.undated_closure_rate)
+_of_marts("Q9_undated_closure_rate_one_sigma", detectors.undated_closure_rate, rate_sigmas=1.0)
+_of_marts("J8_undated_closure_rate_by_join", detectors.undated_closure_rate_by_join)
+_of_marts("Q10_composition_drift", detectors.composition_drift)
+_of_marts("Q11_vocabulary_drift", detectors.vocabulary_drift)
+_of_marts("Q12_settlement_completeness", detectors.settlement_completeness)
+_of_marts("Q13_mass_touch", detectors.mass_touch)
+_of_marts("Q14_distribution_checks", lambda h: _six(checks.scorecard_checks(h), "measured_value"))
+_of_marts("Q15_distribution_failed_rows", checks.failed_rows)
+_of_marts("Q18_overview", lambda h: _six(serving.overview(h), "p90_resolution_hours"))
+_of_marts("Q19_agency_performance", lambda h: _six(serving.agency_performance(h), "p90_resolution_hours"))
+_of_marts("Q20_geo_equity", serving.geo_equity)
+_of_marts("Q20_missing_coordinates", serving.missing_coordinates)
+_of_marts("Q21_seasonality", serving.seasonality)
+_of_marts("Q22_naive_vs_correct", serving.naive_vs_correct)
+_of_marts("Q23_mass_touch_fired", lambda h: detectors.mass_touch(h).where("fired"))
+_of_marts("Q24_type_share", lambda h: serving.type_share(serving.seasonality(h), "1-URGENT"))
+_of_marts("Q24_monthly_volume", lambda h: serving.monthly_volume(serving.seasonality(h)))
 _of_house("Q27_quality_baseline", lambda h: serving.quality_baseline(h.bronze))
-_of_house("Q28_agency_service_levels", lambda h: _six(serving.agency_service_levels(h), "p90_hours"))
-_of_house("Q28_equity_by_borough", lambda h: _six(serving.equity_by_borough(h), "p90_hours"))
-_of_house("Q28_share_by_calendar_month", serving.share_by_calendar_month)
-_of_house("Q28_undated_by_month", serving.undated_by_month)
-_of_house("Q28_missing_by_month", serving.missing_by_month)
+_of_marts("Q28_agency_service_levels", lambda h: _six(serving.agency_service_levels(h), "p90_hours"))
+_of_marts("Q28_equity_by_borough", lambda h: _six(serving.equity_by_borough(h), "p90_hours"))
+_of_marts("Q28_share_by_calendar_month", serving.share_by_calendar_month)
+_of_marts("Q28_undated_by_month", serving.undated_by_month)
+_of_marts("Q28_missing_by_month", serving.missing_by_month)
 _of_house("SC15_recent_slice", lambda h: recent_slice(h.bronze, 90).select("unique_key", "created_date"))
 _of_house("SC18_grouped_counts", lambda h: h.bronze.groupBy("status", F.hour("created_date").cast("bigint").alias("hour")).agg(F.count(F.lit(1)).alias("n")))
 _of_house("A17_touch_frequencies", lambda h: probes.stamp_frequencies(h.bronze, "updated_at").where("n > 1"))
 _of_house("A17_touch_lags", lambda h: probes.lags(h.bronze, "created_date", "updated_at", "status"))
-_of_house("J16_model_assertions", assertions.model_assertions)
+_of_marts("J16_model_assertions", assertions.model_assertions)
 
 
 def _accepted(spark: SparkSession) -> DataFrame:
@@ -95,8 +120,6 @@ def _accepted(spark: SparkSession) -> DataFrame:
 
 
 def _scorecard(h: Warehouse) -> DataFrame:
-    """All checks read the models' tables, which are written first: views would recompute the fact for every check."""
-    h.materialise(scratch_folder(h.bronze.sparkSession))
     card = scorecard.scorecard(h, _accepted(h.bronze.sparkSession))
     shares = F.col("category") == "distributional"
     return card.withColumn("measured_value", F.when(shares, rounded(F.col("measured_value"), 6)).otherwise(F.col("measured_value")))
@@ -117,17 +140,17 @@ def _history(h: Warehouse) -> DataFrame:
     return merged(earlier.drop("i"), today, h.config.today, h.config.history_days)
 
 
-_of_house("Q16_scorecard", _scorecard)
-_of_house("J13_scorecard_assertions", lambda h: assertions.scorecard_assertions(_scorecard(h), scorecard.tables_of(h)))
-_of_house("Q17_history_merge", _history)
-_of_house("Q24_latest_scorecard", lambda h: serving.latest_scorecard(written(_history(h))))
-_of_house("Q24_scorecard_trend", lambda h: serving.scorecard_trend(_history(h)))
+_of_marts("Q16_scorecard", _scorecard)
+_of_marts("J13_scorecard_assertions", lambda h: assertions.scorecard_assertions(_scorecard(h), scorecard.tables_of(h)))
+_of_marts("Q17_history_merge", _history)
+_of_marts("Q24_latest_scorecard", lambda h: serving.latest_scorecard(written(_history(h))))
+_of_marts("Q24_scorecard_trend", lambda h: serving.scorecard_trend(_history(h)))
 
 _RATIOS = [m for m in metrics.METRICS if m.endswith("_rate") or "closure_rate" in m]
 
 
 def _metric(name: str, group_by: list[str], where: str | None = None) -> None:
-    _of_house(name, lambda h: _six(metrics.metric_query(h, metrics.METRICS, group_by, where), "p90_resolution_hours", *_RATIOS))
+    _of_marts(name, lambda h: _six(metrics.metric_query(h, metrics.METRICS, group_by, where), "p90_resolution_hours", *_RATIOS))
 
 
 _metric("Q25_metrics_total", [])
@@ -164,7 +187,7 @@ def _anchor(spark: SparkSession, folder: str) -> DataFrame:
 @_query("J16_missing_references")
 def _references(spark: SparkSession, folder: str) -> DataFrame:
     keys = {"agency": "agency_key", "complaint_type": "complaint_type_key", "location": "location_key"}
-    one = house(spark, folder).fact.agg(*[F.count_if(F.col(k).isNull()).alias(d) for d, k in keys.items()])
+    one = marts(spark, folder).fact.agg(*[F.count_if(F.col(k).isNull()).alias(d) for d, k in keys.items()])
     return one.select(F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("missing")) for d in keys])).alias("m")).select("m.*")
 
 

@@ -67,6 +67,10 @@ class Store:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(name)))
 
+    def stamps(self, name: str) -> tuple[tuple[str, int, int], ...]:
+        """Name, length and time of change of a file, or of each file in a folder."""
+        return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in self._fs.listStatus(self._path(name))))
+
     def delete(self, name: str) -> None:
         self._fs.delete(self._path(name), True)
 

@@ -26,6 +26,10 @@ SAMPLE = Config(
 )
 
 
+#: The tables that the sample is made of.
+SOURCES = ("orders", "lineitem", "customer", "nation", "region")
+
+
 def sample_bronze(spark: SparkSession, folder: str) -> DataFrame:
     """The bronze table: 50 columns, one row per order."""
     read = lambda name: spark.read.parquet(f"{folder}/{name}.parquet")
