@@ -172,7 +172,9 @@ class Warehouse:
     def materialise(self, folder: str) -> Warehouse:
         """Write the fact and the dimensions below a folder, and read them from there on; refuses a folder in use."""
         spark = self.bronze.sparkSession
-        for name, table in (("agencies", self.agencies), ("types", self.types), ("locations", self.locations), ("dates", self.dates), ("fact", self.fact)):
+        self.__dict__.pop("fact", None)  # the fact is to be joined with the written dimensions
+        for name in ("agencies", "types", "locations", "dates", "fact"):
+            table = getattr(self, name)
             table.write.mode("errorifexists").parquet(f"{folder}/{name}")
             self.__dict__[name] = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
         self.__dict__.pop("described", None)
