@@ -1,14 +1,15 @@
 """Language-model scores by masked pseudo-likelihood.
 
 A bidirectional window network predicts every token from its neighbours on both sides; a document's score is the sum
-of the log-probabilities of its tokens.  Tokens are words, mapped to a vocabulary of the most frequent ones and of
-classes for the others (by length, ending and capital), with a boundary before and after each document.
+of the log-probabilities of its tokens.  Tokens are words, with boundaries before and after each document.
 
-Plan.  Three passes, none of which shuffles documents.  The first counts words over the whole corpus, the second counts
-windows (left, right, token): a table of at most vocabulary^3 sums, which is all that the network's likelihood depends
-on.  So training on the driver sees every token of every document, at a size that is bounded by the vocabulary, not by
-the corpus.  As there is one window for each pair of neighbours, the trained network is turned into a table, and
-scoring is a lookup.
+Plan.  The network (`window_network`) has `window` neighbours on each side and as many hashed word units as the corpus
+asks for.  One pass adds up the texts' bytes, one counts units, `rounds` passes train on disjoint slices that make up the
+whole corpus, one scores with the network.  None of them shuffles documents; what is shuffled are counts and copies of
+the model, one for each core.
+
+A small exact model of one neighbour on each side and a given number of words remains for callers that name `frequent`:
+its likelihood depends only on a table of window counts.  No query uses it.
 
 Cases.  Null and empty texts have no tokens and score 0, their mean is null.  Ids may be null and may repeat: one row
 comes out for each row.  An empty table gives an empty result.  Extra columns are ignored.
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow, ship
+from .window_network import Encoder, fit_network
 
 BOUNDARY, CLASSES = 0, 32
 
@@ -133,23 +135,39 @@ def train_network(counts: np.ndarray, hidden: int = 32, steps: int = 120, rate:
     return forward(every // v, every % v)[1].astype(np.float32)
 
 
-def pseudo_likelihood(docs: DataFrame, frequent: int = 95, id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
-    """One row per document: id, n_tokens, log_likelihood, mean_log_likelihood."""
-    top = word_counts(docs, text_col).orderBy(F.col("n").desc(), "word").limit(frequent).collect()
-    vocabulary = Vocabulary([bytes(r["word"]) for r in top])
-    table = train_network(window_counts(docs, vocabulary, text_col), **training)  # vocabulary^3 floats, 8 MB
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast(table)
+def pseudo_likelihood(docs: DataFrame, frequent: int | None = None, window: int = 4, id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
+    """One row per document: id, n_tokens, log_likelihood, mean_log_likelihood.
 
-    def each() -> Callable:
-        logp = shared.value
+    frequent: use the small exact model with so many words, which knows one neighbour on each side, instead.
+    """
+    if frequent is None:
+        shared = docs.sparkSession.sparkContext.broadcast(fit_network(docs, window, text_col=text_col, **training))
+
+        encoders: list[Encoder] = []  # one for each worker, with its memory of hashes
+
+        def score(texts: list[str | None]) -> tuple[list[int], list[float]]:
+            network = shared.value
+            if not encoders:
+                encoders.append(Encoder(network.units, network.window))
+            encoder = encoders[0]
+            ids = [encoder.words(t) for t in texts]
+            counts = [len(x) for x in ids]
+            sums = np.concatenate([[0.0], np.cumsum(network.log_probabilities(encoder.sequence(ids)), dtype=np.float64)])
+            ends = np.cumsum([0, *counts])
+            return counts, np.diff(sums[ends]).tolist()
 
+    else:
+        top = word_counts(docs, text_col).orderBy(F.col("n").desc(), "word").limit(frequent).collect()
+        vocabulary = Vocabulary([bytes(r["word"]) for r in top])
+        shared = docs.sparkSession.sparkContext.broadcast(train_network(window_counts(docs, vocabulary, text_col), **training))
+
+        def score(texts: list[str | None]) -> tuple[list[int], list[float]]:
+            found = [vocabulary.windows(t) for t in texts]
+            return [len(token) for _, token in found], [float(shared.value[pair, token].sum(dtype=np.float64)) for pair, token in found]
+
+    def each() -> Callable:
         def work(batch: pa.RecordBatch) -> dict:
-            counts, sums = [], []
-            for text in batch["text"].to_pylist():
-                pair, token = vocabulary.windows(text)
-                counts.append(len(token))
-                sums.append(float(logp[pair, token].sum(dtype=np.float64)))
+            counts, sums = score(batch["text"].to_pylist())
             return {id_col: batch["id"], "n_tokens": counts, "log_likelihood": sums, "mean_log_likelihood": [s / n if n else None for s, n in zip(sums, counts, strict=True)]}
 
         return work
