@@ -23,6 +23,14 @@ def test_rare_words_are_told_apart(docs):
     assert a > b + 100
 
 
+def test_words_beyond_the_next_one_count(docs):
+    r = random.Random(2)
+    filler = ["aa", "bb", "cc"]
+    good = [" ".join(w for _ in range(20) for k in [r.randrange(2)] for w in (("sun", "moon")[k], r.choice(filler), ("day", "night")[k], r.choice(filler), r.choice(filler))) for _ in range(600)]
+    a, b = scores(docs(*good, "sun aa day bb cc moon aa night bb cc", "sun aa night bb cc moon aa day bb cc"))[-2:]
+    assert a > b + 1
+
+
 def test_units_follow_the_corpus(spark):
     small, larger = (spark.read.parquet(f"/root/testdata/{f}/documents.parquet") for f in ("sf0.001", "sf0.01"))
     nets = [fit_network(d, rounds=1) for d in (small, larger)]
