@@ -154,3 +154,13 @@ def test_random_markup_never_fails():
     atoms = ["<p>", "</p>", "<div class='ad'>", "</div>", "<article>", "</article>", "<b>", "</b>", "<li>", "<ul>", "</ul>", "<", ">", "&", "&amp;", "&#x;", "<!--", "-->", "<script>", "</script>", "text ", "<td>", "<table>", "<br/>", "<svg/>", '<a href="', '">', "\n", "<form>", "</form>", "</body>"]
     for _ in range(3000):
         assert isinstance(main_text("".join(r.choice(atoms) for _ in range(r.randint(0, 40)))), str)
+
+
+def test_blocks_beside_the_densest_one_stay():
+    page = f"<body><div id=page><h1>T</h1><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div><p>{LONG}</p><p>{LONG}</p></div><ul><li><a>one</a><li><a>two</a><li><a>three</a></ul></div><div><a>x</a></div></body>"
+    assert main_text(page).split("\n") == ["T", *[LONG.strip()] * 5]
+
+
+def test_lists_of_links_in_an_article_stay():
+    page = f"<article><p>{LONG}</p><p>{LONG}</p><ul><li><a>source one</a><li><a>source two</a><li><a>source three</a></ul></article>"
+    assert main_text(page).split("\n")[2:] == ["source one", "source two", "source three"]

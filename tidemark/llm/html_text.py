@@ -3,10 +3,11 @@
 For every node of the DOM: the number of characters and of tags below it, and of those the linked ones.  Its density
 is the characters per tag, adjusted for links by the logarithm of Sun, Song and Liao's composite text density.  The sum
 of the children's densities picks the subtree with the most text; the smallest density on the path from the body to
-it is the threshold: lists of links in the chosen part that stay below it go.  Scripts, styles, forms, menus and the like, known by their tag, role or class words, are taken out before.
+it is the threshold: lists of links outside an article element that stay below it go.  Scripts, styles, forms, menus and the like, known by their tag, role or class words, are taken out before.
 
 The chosen subtree is raised to the article or main element that it is part of, so that a heading or a short paragraph
-beside the densest one stays.  White space inside a block becomes one space; blocks are joined by a newline.
+beside the densest one stays.  On a page without either, every other block whose density reaches the threshold is kept
+too, and a heading whose next block is kept.  White space inside a block becomes one space; blocks are joined by a newline.
 
 Cases.  Null or empty html, and pages without text, give the empty text.  Unclosed and misnested tags are closed as
 browsers close them.  The walk has no recursion, so depth is no limit.  One row comes out for each row, whatever repeats.
@@ -30,6 +31,7 @@ _BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6"
     " header hgroup hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td textarea tfoot th thead tr ul".split()
 )
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NO_TEXT = frozenset("script style noscript template iframe object svg math head title canvas audio video noframes applet".split())
 _FURNITURE = frozenset("nav footer aside form menu dialog button select textarea input fieldset datalist".split()) | _NO_TEXT
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
@@ -230,11 +232,28 @@ def main_text(html: str | None) -> str:
             if inner:
                 top = max(inner, key=lambda k: (chars[k], -k))
     threshold = min(density[k] for k in path)
-    on_path, keep = set(path), [False] * n
+    on_path, keep, inside = set(path), [False] * n, [False] * n
+    whole = not named and tree.tag[top] not in ("article", "main")
+    for k in range(1, n):
+        inside[k] = inside[tree.parent[k]] or tree.tag[k] == "article"
     keep[top] = True
-    for k in range(top + 1, n):
-        list_of_links = k not in on_path and links[k] > 2 and 2 * linked[k] > chars[k] and density[k] < threshold
-        keep[k] = keep[tree.parent[k]] and not out[k] and not list_of_links
+    for k in range(1, n):
+        list_of_links = not inside[k] and k not in on_path and links[k] > 2 and 2 * linked[k] > chars[k] and density[k] < threshold
+        # without an article element, every block as dense as the path's thinnest part is text of the page
+        dense = whole and k not in on_path and tree.tag[k] in _BLOCK and chars[k] > 0 and density[k] >= threshold
+        keep[k] = keep[k] or ((keep[tree.parent[k]] or dense) and not out[k] and not list_of_links)
+    if whole:  # a heading goes with the block after it
+        after: dict[int, int] = {}
+        title = [False] * n
+        for k in range(n - 1, 0, -1):
+            if not out[k] and chars[k]:
+                up = tree.parent[k]
+                if tree.tag[k] in _HEADINGS and up in after and (keep[after[up]] or after[up] in on_path):
+                    title[k] = True
+                after[up] = k
+        for k in range(1, n):
+            title[k] = (title[k] or title[tree.parent[k]]) and not out[k]
+            keep[k] = keep[k] or title[k]
     blocks, line = [], []
     for node, text in tree.items:
         if text is None:
