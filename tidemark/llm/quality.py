@@ -8,6 +8,10 @@ E_P[l(-g)]).  Labels, language, source and ids are no inputs.
 Plan.  The samples are bounded (`sample` rows each, those with the smallest hash of the id) and fitted on the driver;
 that bound is a parameter.  Scoring is one pass over the whole texts, without any shuffle.
 
+Small tables.  Two things switch with the size of the samples.  With 20 or fewer trusted positives, or as few unlabelled
+texts, the prior is not estimated but 0.5.  The number of intervals of a statistic is a 50th of the number of positives,
+between 4 and 16, so below 800 positives the model is coarser.
+
 Cases.  Null and empty texts, and texts of white space only, score 0.  Without any trusted positive nothing can be
 learnt and every other text scores 0.5.  A null id counts as the empty text in the fold.  Labels that are null, or of
 ids without a document, are ignored; ids may repeat.  Extra columns are ignored.
