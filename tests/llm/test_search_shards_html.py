@@ -164,3 +164,21 @@ def test_blocks_beside_the_densest_one_stay():
 def test_lists_of_links_in_an_article_stay():
     page = f"<article><p>{LONG}</p><p>{LONG}</p><ul><li><a>source one</a><li><a>source two</a><li><a>source three</a></ul></article>"
     assert main_text(page).split("\n")[2:] == ["source one", "source two", "source three"]
+
+
+def test_every_row_is_scored_at_most_once():
+    scored = []
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            scored.append(len(self))
+            return np.asarray(self) @ other
+
+    vectors = np.floor(np.random.default_rng(7).normal(0, 100, (500, 32)))
+    vectors[:8] += 400
+    query = np.abs(vectors[0])
+    lists = np.argsort(vectors, axis=0, kind="stable").T.copy()
+    ids, got = threshold_search(vectors.view(Counted), np.arange(500), lists, query, -1, 5)
+    best = np.lexsort((np.arange(500), -(vectors @ query)))[:5]
+    assert ids.tolist() == best.tolist() and got.tolist() == (vectors @ query)[best].tolist()
+    assert 125 < sum(scored) < 500

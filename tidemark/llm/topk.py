@@ -40,10 +40,7 @@ def threshold_search(vectors: np.ndarray, ids: np.ndarray, lists: np.ndarray, qu
         fresh[up.ravel()] = True
         fresh &= ~seen
         at = np.flatnonzero(fresh)
-        if 4 * len(at) > n:
-            scores[at] = (vectors @ query)[at]
-        else:
-            scores[at] = vectors[at] @ query
+        scores[at] = vectors.take(at, axis=0) @ query
         seen |= fresh
         if high == n or seen.all():
             break
