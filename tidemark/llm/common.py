@@ -17,15 +17,24 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: ASCII white space, the set of the contracts: [\x20\x09-\x0D].
 SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 
+#: Rows of a staged table in one file, where the number of rows is known.
+ROWS_A_FILE = 20_000
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares: spark.checkpoint.dir, or a local one where none is set (tests)."""
+    """The folder that the cluster shares: spark.checkpoint.dir.
+
+    Where none is set, a session on one machine gets a temporary folder; on a cluster that is an error, as executors
+    would write to their own disks.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
@@ -36,17 +45,35 @@ def staged(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
     """Write a table to the shared folder and read it back.
 
     This cuts the lineage: an executor that is lost later costs no recomputation above this point.  The files go
-    when the driver's JVM ends.  rows: a bound on the number of rows, if one is known; a small table is then written
-    as a few files, not as one for each shuffle partition.
+    when the driver's JVM ends, or earlier by `dropped`.  rows: a bound on the number of rows, if one is known; the
+    result is then dealt anew, in proportion to it, by an exchange of its own, so that a small result of many tasks
+    makes few files while those tasks stay as many as they are.
     """
     if rows is not None:
-        df = df.coalesce(rows // 5_000 + 1)
+        df = df.repartition(rows // ROWS_A_FILE + 1)
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    _file_system(spark, path).deleteOnExit(_hadoop_path(spark, path))
+    out = spark.read.schema(df.schema).parquet(path)
+    out._tidemark_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read any more."""
+    for table in tables:
+        path = getattr(table, "_tidemark_path", None)
+        if path:
+            _file_system(table.sparkSession, path).delete(_hadoop_path(table.sparkSession, path), True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def hex_sha256(text: Column) -> Column:

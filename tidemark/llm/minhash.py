@@ -13,16 +13,20 @@ Search.
    others are confirmed on the full shingle sets, cut again from the texts.
 4. Components are formed.  What can still be missing are links between members of a bucket that lie in different
    components and neither of which is the pivot.  Buckets with such members are compared block by block on the
-   registers; the estimate joins components into clusters.  Inside a cluster, again block by block, pairs of different
-   components that the estimate leaves are confirmed on the full sets, until none are left.  A group of any size is
-   dealt over many tasks, and only links that connect are handed on.  Then components are formed anew.
+   registers; the estimate joins components into clusters.  Inside a cluster, again block by block, the members with a
+   likely partner in another component are found on the registers; the texts of these alone, and only where they have
+   one, are brought in, and the pairs confirmed on the full sets until none is left that would connect.  A group of any
+   size is dealt over many tasks, and only links that connect are handed on.  Then components are formed anew.
 So every pair that shares a bucket is compared or already connected; there is no cap on buckets or partners.  With 51
 bands of five, a pair at the threshold of 0.75 shares no bucket with a probability of 1e-6.
 
+Sets are kept as 64-bit hashes of their shingles: two shingles of one pair of documents fall together with a probability
+of about n * m / 2^64, below 1e-11 for texts of ten thousand words.
+
 Cases.  Null and empty texts, and texts without words, have an empty set, are linked with nothing, and are kept.  Texts
 of fewer than five words have one shingle, the whole sequence.  Rows with a null id are linked with nothing.  Rows that
 repeat an id are one document, whose links are those of each of its texts.  An empty table gives an empty result.
-Extra columns are ignored.
+Texts of any length are cut whole.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import map_arrow, staged
+from .common import dropped, map_arrow, staged
 from .components import connected_components
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -198,43 +202,70 @@ def _blocks(members: DataFrame, key: str, block: int) -> DataFrame:
     return dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("blocks", "other")
 
 
-def _spanning(table: pa.Table, registers: int, threshold: float, accept: Callable[[int, int], bool] | None) -> tuple[list, list]:
-    """Links between the components of one pair of blocks: no pair is tried that is already connected."""
-    own, i, j = (table[c].to_numpy() for c in ("own", "i", "j"))
-    ids, root, n = table["id"].to_numpy(), table["component"].to_numpy().copy(), table["n_shingles"].to_numpy()
-    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, registers)
-    least, one_block = least_estimate(threshold, registers), i[0] == j[0]
-    columns, a, b = np.flatnonzero(own == j[0]), [], []
-    for r in np.flatnonzero(own == i[0]):
-        fit = (root[columns] != root[r]) & (np.minimum(n[columns], n[r]) >= threshold * np.maximum(n[columns], n[r]))
-        if one_block:
-            fit &= ids[columns] > ids[r]
+class _Block:
+    """The members of one pair of blocks, with the likely partners of each among those of other components."""
+
+    def __init__(self, table: pa.Table, registers: int, threshold: float) -> None:
+        self.registers, self.threshold, self.least = registers, threshold, least_estimate(threshold, registers)
+        self.own, i, j = (table[c].to_numpy() for c in ("own", "i", "j"))
+        self.ids, self.root, self.n = table["id"].to_numpy(), table["component"].to_numpy().copy(), table["n_shingles"].to_numpy()
+        self.sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint16).reshape(-1, registers)
+        self.one, self.columns, self.rows = i[0] == j[0], np.flatnonzero(self.own == j[0]), np.flatnonzero(self.own == i[0])
+
+    def likely(self, r: int) -> np.ndarray:
+        """Members of the second block whose estimate with r does not rule them out and which r is not yet connected with."""
+        columns, n = self.columns, self.n
+        fit = (self.root[columns] != self.root[r]) & (np.minimum(n[columns], n[r]) >= self.threshold * np.maximum(n[columns], n[r]))
+        if self.one:
+            fit &= self.ids[columns] > self.ids[r]
         near = columns[fit]
-        if len(near):
-            guess = estimate((sketch[near] == sketch[r]).mean(axis=1), np.full(len(near), n[r]), n[near], registers)
-            for c in near[guess >= least]:
-                if root[c] != root[r] and (accept is None or accept(r, c)):
-                    a.append(ids[r])
-                    b.append(ids[c])
+        if not len(near):
+            return near
+        guess = estimate((self.sketch[near] == self.sketch[r]).mean(axis=1), np.full(len(near), n[r]), n[near], self.registers)
+        return near[guess >= self.least]
+
+    def spanning(self, accept: Callable[[int, int], bool] | None = None) -> tuple[list, list]:
+        """Links between components: no pair is tried that is already connected."""
+        a, b, root = [], [], self.root
+        for r in self.rows:
+            for c in self.likely(r):
+                if root[c] != root[r] and (accept is None or accept(int(r), int(c))):
+                    a.append(self.ids[r])
+                    b.append(self.ids[c])
                     root[root == root[c]] = root[r]
-    return a, b
+        return a, b
+
+    def with_partners(self) -> np.ndarray:
+        """Which members have a likely partner here."""
+        out = np.zeros(len(self.ids), bool)
+        for r in self.rows:
+            near = self.likely(r)
+            out[near] = True
+            out[r] |= bool(len(near))
+        return out
 
 
-def _across(members: DataFrame, threshold: float, registers: int, block: int = 1024) -> DataFrame:
+def _across(members: DataFrame, threshold: float, registers: int, block: int = 512) -> DataFrame:
     """Links by estimate that connect members (bucket, id, component, n_shingles, sketch) of one bucket."""
     kind = to_arrow_type(members.schema["id"].dataType)
 
     def compare(table: pa.Table) -> pa.Table:
-        a, b = _spanning(table, registers, threshold, None)
+        a, b = _Block(table, registers, threshold).spanning()
         return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
 
     name = members.schema["id"].dataType.simpleString()
     return _blocks(members, "bucket", block).groupBy("bucket", "i", "j").applyInArrow(compare, f"a {name}, b {name}")
 
 
-def _settled(clusters: DataFrame, width: int, fraction: tuple[int, int], registers: int, block: int = 1024) -> DataFrame:
-    """Confirmed links between the components of each cluster (cluster, id, component, n_shingles, sketch, text)."""
-    kind = to_arrow_type(clusters.schema["id"].dataType)
+def _partnered(clusters: DataFrame, threshold: float, registers: int, block: int = 512) -> DataFrame:
+    """Of each pair of blocks of a cluster (cluster, id, component, n_shingles, sketch), the members with a likely partner in it."""
+    dealt = _blocks(clusters, "cluster", block).select("cluster", "i", "j", "own", "id", "component", "n_shingles", "sketch")
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(lambda table: table.filter(pa.array(_Block(table, registers, threshold).with_partners())), dealt.schema)
+
+
+def _settled(partnered: DataFrame, width: int, fraction: tuple[int, int], registers: int) -> DataFrame:
+    """Confirmed links between the components of each cluster, from partnered members with their texts."""
+    kind = to_arrow_type(partnered.schema["id"].dataType)
 
     def compare(table: pa.Table) -> pa.Table:
         texts, sets = table["text"], {}
@@ -245,15 +276,15 @@ def _settled(clusters: DataFrame, width: int, fraction: tuple[int, int], registe
             return sets[k]
 
         def accept(r: int, c: int) -> bool:
-            x, y = cut(int(r)), cut(int(c))
+            x, y = cut(r), cut(c)
             both = len(x & y)
             return fraction[1] * both >= fraction[0] * (len(x) + len(y) - both)
 
-        a, b = _spanning(table, registers, fraction[0] / fraction[1], accept)
+        a, b = _Block(table, registers, fraction[0] / fraction[1]).spanning(accept)
         return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
 
-    name = clusters.schema["id"].dataType.simpleString()
-    return _blocks(clusters, "cluster", block).groupBy("cluster", "i", "j").applyInArrow(compare, f"a {name}, b {name}")
+    name = partnered.schema["id"].dataType.simpleString()
+    return partnered.groupBy("cluster", "i", "j").applyInArrow(compare, f"a {name}, b {name}")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: tuple[int, int] = (75, 100), registers: int = 255, rows: int = 5) -> DataFrame:
@@ -275,9 +306,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     m = shared.agg(F.coalesce(F.sum(F.col("members") - 1), F.lit(0))).first()[0]
     members = staged(banded.join(shared, "bucket").where("id <> pivot"), "minhash-members", m)
 
+    dropped(shared)
     pairs = members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     likely = staged(_likely(pairs, first, ratio, registers), "minhash-likely", m)
     links = staged(_confirmed(likely, docs, width, threshold), "minhash-links", m)
+    dropped(likely)
     found = links.count()
     labels = connected_components(links, 2 * found)
 
@@ -291,13 +324,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         clusters = connected_components(links.union(across), 2 * (found + across.count())).withColumnRenamed("component", "cluster")
         clusters = staged(clusters.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "minhash-clusters", n)
         several = clusters.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("cluster")
-        several = clusters.join(several, "cluster").join(first.select("id", "n_shingles", "sketch"), "id").join(docs, "id")
-        more = staged(_settled(several, width, threshold, registers), "minhash-more-links")
+        several = clusters.join(several, "cluster").join(first.select("id", "n_shingles", "sketch"), "id")
+        partnered = staged(_partnered(several, ratio, registers), "minhash-partnered")
+        more = staged(_settled(partnered.join(docs, "id"), width, threshold, registers), "minhash-more-links")
+        dropped(across, partnered)
         if not more.isEmpty():
             labels = connected_components(links.union(more), 2 * (found + more.count()))
 
     by_class = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("class", F.coalesce("component", "rep").alias("component"))
     by_class = staged(by_class, "minhash-class-labels", n)
+    dropped(first, members, links, open_, mixed, classes)
     out = sketched.select("id", "n_shingles", "class").join(by_class, "class", "left")
     out = out.withColumn("component_id", F.when(F.col("id").isNull(), F.col("id")).otherwise(F.coalesce("component", "id")))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
