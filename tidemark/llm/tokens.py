@@ -1,13 +1,22 @@
-"""Byte-level BPE ids, as the tokenizers library gives them for a tokenizer file."""
+"""Byte-level BPE ids, as the tokenizers library gives them for a tokenizer file.
+
+Cases.  The empty text has no ids.  Texts of any length are encoded whole; runs of white space beyond LONG_RUN, for which
+the fast encoder's matcher would run out of its stack (at about a million characters), go through tokenizers.
+"""
 
 from __future__ import annotations
 
 import functools
 import json
 import os
+import re
 from collections.abc import Callable
 
 
+LONG_RUN = 50_000
+_LONG_SPACE = re.compile(r"\s{%d}" % LONG_RUN)
+
+
 def _printable_bytes() -> dict[str, int]:
     """The usual byte-level alphabet: printable Latin-1 stands for itself, other bytes for U+0100 onwards."""
     own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
@@ -38,7 +47,7 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     """text -> ids, equal to Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids.
 
     Byte-level BPE files go through tiktoken, which is about four times as fast; texts that hold an added token's
-    string, and other kinds of file, go through tokenizers.
+    string or a very long run of white space, and other kinds of file, go through tokenizers.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
@@ -56,6 +65,8 @@ def encoder(path: str) -> Callable[[str], list[int]]:
         return slow
 
     def encode(text: str) -> list[int]:
-        return slow(text) if any(a in text for a in added) else fast.encode_ordinary(text)
+        if any(a in text for a in added) or (len(text) >= LONG_RUN and _LONG_SPACE.search(text)):
+            return slow(text)
+        return fast.encode_ordinary(text)
 
     return encode
