@@ -8,23 +8,26 @@ the histogram of piece lengths: at most `capacity` numbers, whatever the corpus.
 2. best-fit decreasing on what is left, again with multiplicities.
 
 The result is a list of patterns, each used for a run of sequences.  Every piece then gets its rank among the pieces
-of its length, which gives its sequence and offset.  Ranks come from salted groups, so a length that a third of all
-pieces share is dealt over many tasks.
+of its length, which gives its sequence and offset.  Ranks come from salted groups of about `group` pieces, whatever
+the size of the corpus.  The salt comes from a number that each piece gets from its task when it is written, not from
+its content, so that neither a length that a third of all pieces share nor rows with one id, or none, meet in one task.
 
 Cases.  A null text counts as empty; an empty document is its end token alone.  Documents longer than the capacity
 are cut so that only their first piece is shorter.  Rows with null ids are packed like others; rows that repeat an id
-are packed once each.  An empty table gives an empty result.  Extra columns are ignored.
+are packed once each.  Texts of any length are encoded whole.  An empty table gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import bisect
+import itertools
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -164,22 +167,24 @@ def _segments(patterns: list[tuple[Pattern, int]]) -> dict[int, np.ndarray]:
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
-    """One row per piece: id, piece, start, length, ids_crc32 and, if asked for, ids."""
+    """One row per piece: id, piece, start, length, ids_crc32, deal (a number that spreads the rows) and, if asked for, ids."""
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
+    schema = f"`{id_col}` {kind}, piece int, start long, length long, ids_crc32 long, deal long" + ", ids array<int>" * with_ids
 
     def each() -> Callable:
         encode = encoder(tokenizer_path)
+        task = TaskContext.get().partitionId()
+        numbers = itertools.count()
 
         def cut(batch: pa.RecordBatch) -> dict:
-            out: dict[str, list] = {c: [] for c in (id_col, "piece", "start", "length", "ids_crc32", "ids")}
+            out: dict[str, list] = {c: [] for c in (id_col, "piece", "start", "length", "ids_crc32", "deal", "ids")}
             for key, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
                 ids = np.array([*(encode(text) if text else ()), end_id], dtype="<u4")
                 head = len(ids) % capacity or capacity
                 for piece, end in enumerate(range(head, len(ids) + 1, capacity)):
                     start = end - capacity if piece else 0
                     part = ids[start:end]
-                    for c, x in zip(out, (key, piece, start, end - start, zlib.crc32(part.tobytes()), part.astype(np.int32) if with_ids else None), strict=True):
+                    for c, x in zip(out, (key, piece, start, end - start, zlib.crc32(part.tobytes()), task << 40 | next(numbers), part.astype(np.int32) if with_ids else None), strict=True):
                         out[c].append(x)
             return out
 
@@ -188,37 +193,30 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
     return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), each, schema)
 
 
-def pack_pieces(pieces: DataFrame, capacity: int, id_col: str = "doc_id") -> DataFrame:
-    """Add sequence_id and offset to a table of pieces (which should be a written one: it is read four times)."""
+def pack_pieces(pieces: DataFrame, capacity: int, group: int = 20_000) -> DataFrame:
+    """Add sequence_id and offset to a table of token_pieces (a written one: it is read three times)."""
     hist = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
-    total = sum(hist.values())
-    target = max(64, total // 2000)
-    salts = {s: -(-n // target) for s, n in hist.items()}
     segments = _segments(plan_packing(hist, capacity))
-    spark = pieces.sparkSession
-    plan = spark.createDataFrame([(int(s), int(k)) for s, k in salts.items()] or [(0, 1)], "len long, salts long")
+    salts = [(int(s), -(-n // group)) for s, n in hist.items()] or [(0, 1)]
+    plan = pieces.sparkSession.createDataFrame(salts, "len long, salts long")
     # at most `capacity` rows: broadcast by a proven bound
-    salted = pieces.join(F.broadcast(plan), F.col("length") == F.col("len")).withColumn("salt", F.pmod(F.xxhash64(id_col, "piece"), F.col("salts"))).drop("len", "salts")
-    counts = salted.groupBy("length", "salt").count().orderBy("length", "salt").collect()  # at most 2000 + `capacity` rows
-    before: dict[tuple[int, int], int] = {}
-    seen: Counter = Counter()
-    for r in counts:
-        before[r["length"], r["salt"]] = seen[r["length"]]
-        seen[r["length"]] += r["count"]
-
-    columns = pieces.columns
-    order = Window.partitionBy("length", "salt").orderBy(id_col, "piece", "ids_crc32")
-    ranked = salted.withColumn("nth", F.row_number().over(order).cast("long") - 1)
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    salted = pieces.join(F.broadcast(plan), F.col("length") == F.col("len")).withColumn("salt", F.pmod(F.xxhash64("deal"), F.col("salts"))).drop("len", "salts")
+    earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = salted.groupBy("length", "salt").count().select("length", "salt", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
+
+    columns = [c for c in pieces.columns if c != "deal"]
+    order = Window.partitionBy("length", "salt").orderBy("deal")
+    ranked = salted.withColumn("nth", F.row_number().over(order).cast("long") - 1).join(before, ["length", "salt"])
+    ranked = ranked.select(*columns, (F.col("before") + F.col("nth")).alias("rank"))
+    schema = T.StructType([*[f for f in pieces.schema.fields if f.name != "deal"], T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def each() -> Callable:
         def place(batch: pa.RecordBatch) -> dict:
-            sizes, salt, nth = (batch[c].to_numpy() for c in ("length", "salt", "nth"))
+            sizes, ranks = (batch[c].to_numpy() for c in ("length", "rank"))
             sequence, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-            for size, part in set(zip(sizes.tolist(), salt.tolist(), strict=True)):
-                at = np.flatnonzero((sizes == size) & (salt == part))
-                table = segments[size]
-                rank = nth[at] + before[size, part]
+            for size in set(sizes.tolist()):
+                at = np.flatnonzero(sizes == size)
+                table, rank = segments[size], ranks[at]
                 row = table[np.searchsorted(table[:, 0], rank, side="right") - 1]
                 rank = rank - row[:, 0]
                 sequence[at] = row[:, 2] + rank // row[:, 1]
@@ -233,4 +231,4 @@ def pack_pieces(pieces: DataFrame, capacity: int, id_col: str = "doc_id") -> Dat
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1024, end_id: int = 2, with_ids: bool = False) -> DataFrame:
     """Tokenise and pack: id, piece, start, length, ids_crc32, [ids,] sequence_id, offset."""
     pieces = staged(token_pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id, with_ids), "packing-pieces")
-    return pack_pieces(pieces, capacity, id_col)
+    return pack_pieces(pieces, capacity)
