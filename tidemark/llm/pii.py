@@ -1,18 +1,20 @@
 """Personal data by weak supervision, with DataFrame functions only.
 
 Candidates come from patterns of four kinds (email, ip, card, phone): the base pattern of each kind, and wider forms
-that people also write (spelled-out addresses, phone numbers without a country code).  Labelers vote on every
-candidate - the pattern's own check, gazetteers (top-level domains, issuer and country prefixes), words of the context,
+that people also write (spelled-out addresses, ips with guarded dots, cards in groups parted by other marks, phone
+numbers without a country code or with 00 before it).  Labelers vote on every candidate - the pattern's own check, gazetteers (top-level domains, issuer and country prefixes), words of the context,
 and the characters at the borders - or abstain.  Expectation-maximisation estimates each labeler's reliability for
 each kind and a probability for each candidate, from the counts of vote patterns; a logistic span classifier is then
-trained on the candidates' features with these probabilities.  A base match that passes its check always stays, one
-that fails it never does; wider forms are added when the classifier accepts them and no base span overlaps.
+trained on the candidates' features with these probabilities.  A base match that passes its check always stays, and
+nothing that fails one does; wider forms are added when the classifier accepts them and no base span overlaps.
 
 Plan.  One pass over the texts finds candidates, as arrays beside each row: nothing is shuffled by document.  What is
-learnt from is a grouped count whose keys are bounded (kinds * votes * features, at most 4 * 3^4 * 2 * 4^3 rows), so
-the driver's part does not grow with the corpus.
+learnt from is a grouped count whose keys are bounded (kinds * forms * votes * sides * sizes, at most 4 * 3 * 3^4 * 4^3
+rows), so the driver's part does not grow with the corpus.  Offsets, overlaps and cuts are running sums and running
+bounds over the arrays, taken in blocks of the square root of their length, so a text with many thousand matches takes
+time little above its length.
 
-Cases.  Null and empty texts have no spans.  Start and end count code points, end exclusive.  Ids may be null or
+Cases.  Null and empty texts have no spans.  Texts of any length are searched whole.  Start and end count code points, end exclusive.  Ids may be null or
 repeat: one row comes out for each row.  An empty table gives an empty result, and the classifier then accepts what
 the labelers' starting reliabilities accept.  Extra columns are ignored, whatever their names.
 """
@@ -37,14 +39,48 @@ _PATTERNS = (
     ("ip", True, r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     ("card", True, r"[0-9](?:[\x20-]?[0-9]){13,}+"),
     ("phone", True, r"\+[0-9][\x20().0-9-]+[0-9]"),
-    ("email", False, r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:\[at\]|\(at\)|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}\x20?(?:\[dot\]|\(dot\)|\x20dot\x20)\x20?[A-Za-z]{2,24}"),
-    ("phone", False, r"(?<![0-9+.-])(?<!\+[0-9]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
+    (
+        "email", False,
+        r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:\[at\]|\(at\)|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}"
+        r"(?:\x20?(?:\[dot\]|\(dot\)|\x20dot\x20)\x20?[A-Za-z0-9-]{1,63}){1,4}",
+    ),
+    (
+        "ip", False,
+        r"(?i)(?<![0-9.])[0-9]{1,3}(?:\x20?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)|\x20dot\x20)\x20?[0-9]{1,3}){3}(?![0-9])",
+    ),
+    ("card", False, r"(?<![0-9._/])[0-9]{4}([._/\t\xA0])[0-9]{4}\1[0-9]{4}\1[0-9]{4}(?![0-9])"),
+    (
+        "phone", False,
+        r"(?<![0-9+.-])(?<!\+[0-9]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
+    ),
+    ("phone", False, r"(?<![0-9+.-])00[1-9][0-9]{0,2}(?:[\x20.-][0-9]{2,5}){2,5}(?![0-9])"),
 )
 
+# What a text must hold for each pattern to match anywhere (SQL): most texts need no pattern at all.
+_NEEDS = (
+    "contains(text, '@')",
+    "digit",
+    "digit",
+    "contains(text, '+')",
+    "dotted",
+    "digit and (dotted or contains(text, '[.]') or contains(text, '(.)'))",
+    "digit",
+    "digit",
+    "contains(text, '00')",
+)
+
 # Gazetteers and words of the context: fixed values.
-_DOMAINS = "com net org edu gov mil int info biz name io co de fr es uk us ca it nl ch at eu be pl pt se no dk fi ie au nz jp cn in br mx ru za"
-_NEAR = "mail e-mail email contact write address phone tel telephone mobile cell fax call whatsapp card visa mastercard amex credit debit host server ip login telefon handy karte anrufen schreiben courriel appeler carte correo llamar tarjeta"
-_AGAINST = "token hash sha md5 uuid key commit checksum version isbn issn doi build release order invoice serial"
+_DOMAINS = (
+    "com net org edu gov mil int info biz name io co de fr es uk us ca it nl ch at eu be pl pt se no dk fi ie au nz jp cn in br mx ru za"
+    " kr tw hk sg tr gr cz hu ro ua il ar cl lu is app dev online site shop tech xyz me tv cc example"
+)
+_NEAR = (
+    "mail e-mail email mailto contact contacts write address reach phone tel telephone mobile cell fax call sms text whatsapp"
+    " card visa mastercard amex discover credit debit payment charge host server ip login client address addr"
+    " telefon handy karte kreditkarte anrufen schreiben adresse kontakt courriel appeler appelez carte bancaire adresse joindre"
+    " correo llamar llame tarjeta contacto escribir movil"
+)
+_AGAINST = "token hash sha md5 uuid key commit checksum version isbn issn doi build release order invoice serial tracking sku id"
 _CARD_PREFIX = r"^(?:4|5[1-5]|2[2-7]|3[47]|3[068]|6(?:011|4[4-9]|5)|35)"
 _PHONE_PREFIX = r"^\+(?:1|7|20|27|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
@@ -60,15 +96,32 @@ def _luhn(digits: str) -> str:
     return f"aggregate(sequence(1, length({digits})), 0L, (sum, k) -> sum + ({doubled}) div 10 + ({doubled}) % 10) % 10 = 0"
 
 
-def _spans_sql(kind: str, base: bool, pieces: str, found: str) -> str:
-    """SQL for the candidates of one pattern, from the text's pieces between its matches and the matches."""
-    one = f"""struct(acc.at + length({pieces}[k - 1]) as start, acc.at + length({pieces}[k - 1]) + length({found}[k - 1]) as end, '{kind}' as kind,
-        {str(base).lower()} as base, {found}[k - 1] as found, right({pieces}[k - 1], 40) as before, left({pieces}[k], 8) as after)"""
+_LONGS = "cast(array() as array<bigint>)"
+
+
+def _running(values: str, merge: str, start: str) -> str:
+    """SQL: for each place of a column of bigints, the values before it merged, beginning with start.
+
+    merge: SQL of x and y.  In blocks of the square root of the length, as an array that grows is copied at every step.
+    """
+    of = lambda x, y: merge.replace("x", x).replace("y", y)
+    side = f"cast(ceil(sqrt(size({values}))) as int)"
+    block = f"""aggregate(slice({values}, b * {side} + 1, {side}), named_struct('at', {start}, 'out', {_LONGS}),
+        (i, v) -> named_struct('at', {of("i.at", "v")}, 'out', concat(i.out, array(i.at))))"""
+    return f"""case when coalesce(size({values}), 0) <= 0 then {_LONGS} else aggregate(
+        transform(sequence(0, (size({values}) - 1) div {side}), b -> {block}),
+        named_struct('at', {start}, 'out', cast(array() as array<array<bigint>>)),
+        (o, b) -> named_struct('at', {of("o.at", "b.at")}, 'out', concat(o.out, array(transform(b.out, v -> {of("o.at", "v")})))),
+        o -> flatten(o.out)) end"""
+
+
+def _spans_sql(kind: str, base: bool, k: int) -> str:
+    """SQL for the candidates of one pattern: p, the text's pieces between its matches; m, the matches; o, their offsets."""
     kinds = "array<struct<start: bigint, end: bigint, kind: string, base: boolean, found: string, before: string, after: string>>"
-    return f"""case when size({pieces}) < 2 then cast(array() as {kinds}) else aggregate(sequence(1, size({found})),
-        named_struct('at', 0L, 'out', cast(array() as {kinds})),
-        (acc, k) -> named_struct('at', acc.at + length({pieces}[k - 1]) + length({found}[k - 1]), 'out', concat(acc.out, array({one}))),
-        acc -> acc.out) end"""
+    start = f"z.o{k} + length(z.p{k})"
+    return f"""case when m{k} is null then cast(array() as {kinds}) else transform(slice(arrays_zip(m{k}, o{k}, p{k}), 1, size(m{k})), (z, i) -> named_struct(
+        'start', {start}, 'end', {start} + length(z.m{k}), 'kind', '{kind}', 'base', {str(base).lower()},
+        'found', z.m{k}, 'before', right(z.p{k}, 40), 'after', left(p{k}[i + 1], 8))) end"""
 
 
 def _judged_sql(spans: str) -> str:
@@ -79,12 +132,12 @@ def _judged_sql(spans: str) -> str:
     octets = "^" + r"\\.".join([_OCTET] * 4) + "$"
     valid = f"""case c.kind
         when 'email' then true
-        when 'ip' then c.found rlike '{octets}'
+        when 'ip' then regexp_replace(c.found, '[^0-9]+', '.') rlike '{octets}'
         when 'card' then length({digits}) between 14 and 19 and {_luhn(digits)}
         else length({digits}) between 10 and 15 end"""
     gazetteer = f"""case c.kind
         when 'email' then case when array_contains(split('{_DOMAINS}', ' '), {domain}) then 1 else -1 end
-        when 'ip' then case when c.found rlike '^0*(?:0|127|255)\\\\.' then -1 else 1 end
+        when 'ip' then case when c.found rlike '^0*(?:0|127|255)[^0-9]' then -1 else 1 end
         when 'card' then case when {digits} rlike '{_CARD_PREFIX}' then 1 else -1 end
         else case when not c.base then 0 when c.found rlike '{_PHONE_PREFIX.replace(chr(92), chr(92) * 2)}' then 1 else -1 end end"""
     context = f"case when c.before rlike '{against}' then -1 when c.before rlike '{near}' then 1 else 0 end"
@@ -94,11 +147,11 @@ def _judged_sql(spans: str) -> str:
     return f"""transform({spans}, c -> named_struct(
         'start', c.start, 'rank', array_position(array('email', 'ip', 'card', 'phone'), c.kind), 'end', c.end, 'kind', c.kind,
         'valid', c.base and ({valid}),
-        'check', case when not c.base then 0 when {valid} then 1 else -1 end,
+        'check', case when not c.base and c.kind in ('email', 'phone') then 0 when {valid} then 1 else -1 end,
         'gazetteer', {gazetteer},
         'context', {context},
         'border', case when {touching} then -1 when {clean} then 1 else 0 end,
-        'form', case when c.base and ({valid}) then 1 else 0 end,
+        'form', case when not c.base then 2 when {valid} then 1 else 0 end,
         'left', {side('c.before', ('', '$'))}, 'right', {side('c.after', ('^', ''))},
         'size', least(3, length({digits}) div 5)))"""
 
@@ -107,19 +160,22 @@ def with_candidates(docs: DataFrame, text: Column, name: str) -> DataFrame:
     """Add a column of judged candidates, in order of start and kind."""
     own = F.struct("*")
     rows = docs.select(own.alias("row"), F.coalesce(text, F.lit("")).alias("text"))
-    rows = rows.withColumn("digit", F.col("text").rlike("[0-9]"))
-    # what each pattern's matches contain: most texts need no pattern at all
-    needs = ["contains(text, '@')", "digit", "digit", "contains(text, '+')", "text rlike '[dD][oO][tT]'", "digit"]
-    cut = [F.when(F.expr(need), F.split("text", pattern, -1)).otherwise(F.array("text")).alias(f"p{k}") for k, ((_, _, pattern), need) in enumerate(zip(_PATTERNS, needs, strict=True))]
+    rows = rows.withColumn("digit", F.col("text").rlike("[0-9]")).withColumn("dotted", F.col("text").rlike("[dD][oO][tT]"))
+    every = range(len(_PATTERNS))
+    patterns = [pattern for _, _, pattern in _PATTERNS]
+    cut = [F.when(F.expr(_NEEDS[k]), F.split("text", patterns[k], -1)).otherwise(F.array("text")).alias(f"p{k}") for k in every]
     rows = rows.select("row", "text", *cut)
-    found = [F.when(F.size(f"p{k}") > 1, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias(f"m{k}") for k, (_, _, pattern) in enumerate(_PATTERNS)]
-    rows = rows.select("row", *[f"p{k}" for k in range(len(_PATTERNS))], *found)
-    spans = "concat(" + ", ".join(_spans_sql(kind, base, f"p{k}", f"m{k}") for k, (kind, base, _) in enumerate(_PATTERNS)) + ")"
+    found = [F.when(F.size(f"p{k}") > 1, F.regexp_extract_all("text", F.lit(patterns[k]), F.lit(0))).alias(f"m{k}") for k in every]
+    rows = rows.select("row", *[f"p{k}" for k in every], *found)
+    sizes = [F.expr(f"zip_with(m{k}, slice(p{k}, 1, size(m{k})), (x, y) -> cast(length(x) + length(y) as bigint))").alias(f"l{k}") for k in every]
+    rows = rows.select("*", *sizes)
+    rows = rows.select("row", *[f"{c}{k}" for k in every for c in "pm"], *[F.expr(_running(f"l{k}", "x + y", "0L")).alias(f"o{k}") for k in every])
+    spans = "concat(" + ", ".join(_spans_sql(kind, base, k) for k, (kind, base, _) in enumerate(_PATTERNS)) + ")"
     rows = rows.select("row", F.expr(spans).alias("c"))
     return rows.select("row.*", F.expr(f"array_sort({_judged_sql('c')})").alias(name))
 
 
-FEATURES = ("kind", "form", "left", "right", "size")
+FEATURES = ("kind", "form", "left", "right", "size", "context", "gazetteer", "check")
 
 
 def _expectation_maximisation(counts: dict[tuple, int], rounds: int = 50) -> tuple[dict[tuple, float], dict]:
@@ -204,14 +260,14 @@ def train_span_classifier(candidates: DataFrame, name: str) -> dict[tuple, float
     return _fit_classifier([(_values(values), n, p / n) for values, (n, p) in sorted(examples.items())])
 
 
-def _accepted_sql(weights: dict[tuple, float]) -> str:
+def _accepted_sql(weights: dict[tuple, float], c: str) -> str:
     """SQL: whether the classifier accepts the candidate c; a value never seen counts against it."""
     parts = [repr(weights.get(("constant",), -1.0))]
     for f in FEATURES:
         own = "".join(f" when {v[1]!r} then {w!r}D" for v, w in weights.items() if v[0] == f)
-        parts.append(f"case c.{f}{own} else -2.0D end" if own else "-2.0D")
+        parts.append(f"case {c}.{f}{own} else -2.0D end" if own else "-2.0D")
     own = "".join(f" when {v[1]!r} then {w!r}D" for v, w in weights.items() if v[0] == "kind*form")
-    parts.append(f"case concat(c.kind, c.form){own} else -2.0D end" if own else "-2.0D")
+    parts.append(f"case concat({c}.kind, {c}.form){own} else -2.0D end" if own else "-2.0D")
     return "(" + " + ".join(parts) + ") > 0"
 
 
@@ -223,11 +279,29 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def _with_spans(judged: DataFrame, weights: dict[tuple, float]) -> DataFrame:
-    base = "filter(candidates, c -> c.valid)"
-    others = f"filter(candidates, c -> c.form = 0 and c.check = 0 and not exists({base}, b -> b.start < c.end and c.start < b.end) and {_accepted_sql(weights)})"
-    kept = f"array_sort(concat({base}, {others}))"
-    spans = f"transform({kept}, c -> named_struct('start', c.start, 'end', c.end, 'kind', c.kind, 'base', c.valid))"
-    return judged.withColumn("spans", F.expr(f"case when size(candidates) = 0 then cast(array() as array<struct<start: bigint, end: bigint, kind: string, base: boolean>>) else {spans} end"))
+    """Add spans to a written table of candidates: base matches that hold, and accepted wider ones that overlap none.
+
+    In order of start, a base span overlaps a wider one if it begins before it and ends after its start, or begins
+    later and before its end: the latest end so far and the next start tell.
+    """
+    far = 1 << 62
+    rows = judged.select(
+        "*",
+        F.expr("transform(candidates, c -> case when c.valid then c.end else 0L end)").alias("ends_"),
+        F.expr(f"transform(reverse(candidates), c -> case when c.valid then c.start else {far}L end)").alias("starts_"),
+        F.expr("exists(candidates, c -> c.form = 2)").alias("wide_"),
+    )
+    rows = rows.select(
+        *judged.columns,
+        "wide_",
+        F.expr(f"case when wide_ then {_running('ends_', 'greatest(x, y)', '0L')} end").alias("until_"),
+        F.expr(f"case when wide_ then reverse({_running('starts_', 'least(x, y)', f'{far}L')}) end").alias("next_"),
+    )
+    wide = f"z.c.form = 2 and z.c.check >= 0 and z.until_ <= z.c.start and z.next_ >= z.c.end and {_accepted_sql(weights, 'z.c')}"
+    kept = f"""case when wide_ then transform(filter(zip_with(candidates, arrays_zip(until_, next_), (c, u) -> named_struct('c', c, 'until_', u.until_, 'next_', u.next_)),
+        z -> z.c.valid or ({wide})), z -> z.c) else filter(candidates, c -> c.valid) end"""
+    rows = rows.select(*judged.columns, F.expr(kept).alias("kept_"))
+    return rows.select(*judged.columns, F.expr("transform(kept_, c -> named_struct('start', c.start, 'end', c.end, 'kind', c.kind, 'base', c.valid))").alias("spans"))
 
 
 def pii_digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -241,22 +315,32 @@ def pii_digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with each span replaced by its kind in angle brackets; overlapping spans go together.
 
-    A null text stays null; texts without spans are untouched.
+    A null text stays null; texts without spans are untouched.  The search runs once: rows are written with their
+    candidates, from which the classifier learns and which it then judges.
     """
-    slim = docs.select(F.col(text_col).alias("text_"))
-    judged = staged(with_candidates(slim, F.col("text_"), "candidates").where("size(candidates) > 0").select("candidates"), "pii-candidates")
-    weights = train_span_classifier(judged, "candidates")
-    columns = docs.columns
-    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("doc"))
-    found = _with_spans(with_candidates(rows, F.col(f"doc.`{text_col}`"), "candidates"), weights)
-    # spans in order of start; one that begins before the last end only lengthens it
-    merged = """aggregate(spans, named_struct('to', -1L, 'cuts', cast(array() as array<struct<start: bigint, end: bigint, kind: string>>)), (acc, s) -> case
-        when s.start >= acc.to then named_struct('to', s.end, 'cuts', concat(acc.cuts, array(named_struct('start', s.start, 'end', s.end, 'kind', s.kind))))
-        else named_struct('to', greatest(acc.to, s.end), 'cuts', transform(acc.cuts, (c, k) ->
-            case when k = size(acc.cuts) - 1 then named_struct('start', c.start, 'end', greatest(c.end, s.end), 'kind', c.kind) else c end)) end, acc -> acc.cuts)"""
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    judged = staged(with_candidates(rows, F.col(f"doc.`{text_col}`"), "candidates"), "pii-candidates")
+    found = _with_spans(judged, train_span_classifier(judged.where("size(candidates) > 0"), "candidates"))
     text = f"doc.`{text_col}`"
-    part = f"concat(substring({text}, cast(case when k = 0 then 1 else cuts[k - 1].end + 1 end as int), cast(c.start - case when k = 0 then 0 else cuts[k - 1].end end as int)), '<', upper(c.kind), '>')"
-    clean = f"concat(array_join(transform(cuts, (c, k) -> {part}), ''), substring({text}, cast(cuts[size(cuts) - 1].end + 1 as int)))"
-    found = found.select("doc", F.expr(merged).alias("cuts"))
-    found = found.withColumn("clean", F.expr(f"case when size(cuts) > 0 then {clean} else {text} end"))
-    return found.select(*[F.col("clean").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in columns])
+    found = found.select("doc", "spans", F.expr("transform(spans, s -> s.end)").alias("ends_"))
+    # a span that begins at or after all ends before it begins a cut, which lasts until the latest end before the next
+    found = found.select("doc", "spans", "ends_", F.expr(_running("ends_", "greatest(x, y)", "0L")).alias("until_"))
+    cuts = "filter(arrays_zip(spans, until_), z -> z.spans.start >= z.until_)"
+    blocks = f"case when size(spans) > 0 then regexp_extract_all({text}, '(?s).{{1,{_BLOCK}}}', 0) end"
+    found = found.select("doc", F.expr(cuts).alias("cuts"), F.array_max("ends_").alias("last"), F.expr(blocks).alias("blocks"), F.expr(f"cast(length({text}) as bigint)").alias("size"))
+    parts = f"transform(cuts, z -> concat({_between('blocks', 'z.until_', 'z.spans.start')}, '<', upper(z.spans.kind), '>'))"
+    clean = f"case when size(cuts) > 0 then concat(array_join({parts}, ''), {_between('blocks', 'last', 'size')}) else {text} end"
+    found = found.select("doc", F.expr(clean).alias("clean"))
+    return found.select(*[F.col("clean").alias(c) if c == text_col else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
+
+
+_BLOCK = 1024
+
+
+def _between(blocks: str, low: str, high: str) -> str:
+    """SQL: the characters from low to high (exclusive) of a text that is given in blocks of _BLOCK characters."""
+    first = f"cast({low} div {_BLOCK} as int)"
+    begin = f"case when i = 0 then cast({low} % {_BLOCK} as int) else 0 end"
+    end = f"cast(least({_BLOCK}, {high} - ({first} + i) * {_BLOCK}) as int)"
+    part = f"substring(t, {begin} + 1, {end} - {begin})"
+    return f"case when {high} <= {low} then '' else array_join(transform(slice({blocks}, {first} + 1, cast(({high} - 1) div {_BLOCK} as int) - {first} + 1), (t, i) -> {part}), '') end"
