@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.comparing import same
 from tidemark.llm import oracles
+from tidemark.llm.common import dropped, staged
 from tidemark.llm.components import connected_components
 from tidemark.llm.exact_dedup import drop_exact_duplicates, exact_dedup
 from tidemark.llm.minhash import Sketcher, drop_near_duplicates, near_duplicates, shingles
@@ -120,3 +121,12 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = {r.id: r.component for r in connected_components(links).collect()}
     assert got == {k: 100 for k in range(100, 161)} | {k: 7 for k in [7, *range(1000, 1200)]}
     assert connected_components(links.limit(0)).count() == 0
+
+
+def test_small_results_of_many_tasks(spark):
+    """Staging a result of few rows doesn't gather the tasks that find them."""
+    rows = staged(spark.range(0, 4000, 1, 8).select("id", F.spark_partition_id().alias("task")).where("id % 500 = 0"), "test-small", 8)
+    assert rows.select("task").distinct().count() == 8 and len(rows.inputFiles()) == 1
+    dropped(rows)
+    plain = staged(spark.range(3), "test-plain")
+    assert plain.count() == 3

@@ -90,3 +90,51 @@ def test_reliabilities_follow_the_votes():
 def test_no_python_on_the_executors(spark, small, name):
     plan = queries()[name](spark, small)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def redacted(text):
+    """Base spans in angle brackets; overlapping ones go together."""
+    cuts = []
+    for a, _, kind, b in base(text):
+        if cuts and a < cuts[-1][1]:
+            cuts[-1][1] = max(cuts[-1][1], b)
+        else:
+            cuts.append([a, b, kind])
+    parts, at = [], 0
+    for a, b, kind in cuts:
+        parts.append(text[at:a] + f"<{kind.upper()}>")
+        at = b
+    return "".join(parts) + text[at:]
+
+
+def test_many_matches_in_one_text(docs):
+    import time
+
+    texts = [" ".join(f"é user{k}@mail{k % 7}.example.com and 10.0.{k % 300}.7 or +1 (803) 555-{k:04d}" for k in range(n)) for n in (1, 31, 7000)]
+    check(find_pii(docs("warm")), [(0, "warm")])
+    began = time.perf_counter()
+    check(find_pii(docs(*texts)), list(enumerate(texts)))
+    clean = {r.doc_id: r.text for r in redact_pii(docs(*texts)).collect()}
+    assert clean == {k: redacted(t) for k, t in enumerate(texts)}
+    assert sum(len(base(t)) for t in texts) > 19_000 and time.perf_counter() - began < 60
+
+
+def test_redaction_cuts_at_any_place(docs):
+    """Spans at the borders of the blocks in which a text is cut, and overlapping ones."""
+    r = random.Random(8)
+    texts = ["x" * n + " a@b.co " + "😀" * m + " 1.2.3.4@h.org 4111 1111 1111 1111" for n in (0, 1015, 1016, 1017, 1023, 1024, 1025, 2040) for m in (0, 1, 1000, 1024)]
+    texts += ["".join(r.choice(["a@b.co", " ", "é", "1.2.3.4", "+1 (803) 555-5351", "x" * 500]) for _ in range(60)) for _ in range(60)]
+    clean = {r.doc_id: r.text for r in redact_pii(docs(*texts)).collect()}
+    assert clean == {k: redacted(t) for k, t in enumerate(texts)}
+
+
+def test_search_runs_once_in_redaction(spark, docs):
+    plan = redact_pii(docs("a@b.co"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan
+
+
+def test_guarded_ips_and_parted_cards(docs):
+    texts = [f"please call me: +1 (803) 555-53{k:02d} today" for k in range(40)] + [f"the server 10.1.{k}.3 is up" for k in range(40)] + ["pay by card 4111 1111 1111 1111 now"] * 40
+    texts += ["the server 10[.]1[.]2[.]3 is up"] * 20 + ["pay by card 4111.1111.1111.1111 now"] * 20 + ["pay by card 4111.1111.1111.1112 now"] * 20
+    spans = check(find_pii(docs(*texts)), list(enumerate(texts)))
+    assert spans[120] == "ip:11:25" and spans[140] == "card:12:31" and spans[160] == ""

@@ -102,6 +102,19 @@ def test_shard_edges(spark, crowded, no_rows):
     assert stratified_shards(no_rows).count() == 0
 
 
+def test_rows_of_one_id_and_tied_places_are_split(spark):
+    """Every bucket and cell is far too full: still each row has its own place, and counts are at most one apart."""
+    one = spark.range(3000).selectExpr("7L as doc_id", "cast(id % 3 as string) as text", "'s' as source")
+    alone = spark.range(3000).selectExpr("id as doc_id", "'t' as text", "cast(id as string) as source")
+    none = spark.range(3000).selectExpr("cast(null as long) as doc_id", "'t' as text", "cast(null as string) as source")
+    for table in (one, alone, none):
+        rows = stratified_shards(table, rows_a_bucket=20).collect()
+        assert sorted(r.position for r in rows) == list(range(3000))
+        shards = Counter(r.shard for r in rows)
+        assert len(shards) == 16 and max(shards.values()) - min(shards.values()) <= 1
+        assert len({(r.shard, r.slot) for r in rows}) == 3000 and max(r.slot for r in rows) == max(shards.values()) - 1
+
+
 @pytest.mark.parametrize("name", ["op4_stratified_sharding"])
 def test_no_python_on_the_executors(spark, small, name):
     plan = queries()[name](spark, small)._jdf.queryExecution().toString()

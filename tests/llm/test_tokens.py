@@ -9,7 +9,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tidemark.llm.packing import best_fit_decreasing, lower_bound, pack_documents, plan_packing, reduce_by_dominance
+from tidemark.llm.common import staged
+from tidemark.llm.packing import best_fit_decreasing, lower_bound, pack_documents, pack_pieces, plan_packing, reduce_by_dominance, token_pieces
 from tidemark.llm.pieces import ChunkEncoder, encode_pieces, piece_digests
 from tidemark.llm.queries import queries
 from tidemark.llm.tokens import encoder
@@ -146,3 +147,29 @@ def test_packing_edges(spark, docs, crowded, no_rows):
     rows = pack_documents(crowded, BPE, with_ids=True).collect()
     assert sum(r.piece == 0 for r in rows) == crowded.count() and all(len(r.ids) == r.length for r in rows)
     assert pack_documents(no_rows, BPE).count() == 0
+
+
+def test_a_million_of_each_white_space_character():
+    for c in " \n\t\r\x0b\x0c\x85\xa0\u2003\u3000":
+        text = "a" + c * 1_000_000 + "b"
+        assert encoder(BPE)(text) == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
+
+
+def test_a_very_long_text_is_packed_whole(docs):
+    text = "word " * 60_000 + " " * 1_000_000 + "end"
+    rows = pack_documents(docs(text, "x"), BPE, with_ids=True).collect()
+    check_packing(rows, {0: text, 1: "x"}, 1024)
+    by = {(r.doc_id, r.piece): r.ids for r in rows}
+    assert [i for k in sorted(by) if k[0] == 0 for i in by[k]] == [*Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_rows_of_one_id_are_dealt(spark):
+    """Null and repeated ids: ranks come from groups that no id gathers."""
+    table = spark.range(3000).selectExpr("cast(null as long) as doc_id", "'one text' as text")
+    rows = pack_documents(table, BPE).collect()
+    at = Counter((r.sequence_id, r.offset) for r in rows)
+    assert len(rows) == 3000 and set(at.values()) == {1}
+    pieces = token_pieces(table, BPE)
+    assert pieces.select("deal").distinct().count() == 3000
+    placed = pack_pieces(staged(pieces, "test-pieces"), 1024, group=100)
+    assert len({(r.sequence_id, r.offset) for r in placed.collect()}) == 3000
