@@ -13,7 +13,7 @@ from tidemark.llm import oracles
 from tidemark.llm.html_text import extract_pages, main_text
 from tidemark.llm.queries import queries
 from tidemark.llm.sharding import stratified_shards
-from tidemark.llm.topk import exact_top_k, threshold_search
+from tidemark.llm.topk import exact_top_k, sorted_lists, threshold_search
 
 
 def test_top_k_equals_sql(spark, small):
@@ -25,7 +25,7 @@ def test_threshold_search_equals_brute_force():
     for n, dim in ((1, 3), (4, 2), (300, 8), (2000, 5)):
         vectors = r.integers(-6, 7, (n, dim)).astype(float)
         ids = r.permutation(n)
-        lists = np.argsort(vectors, axis=0, kind="stable").T.copy()
+        lists = sorted_lists(vectors)
         for query in [*r.integers(-6, 7, (20, dim)).astype(float), np.zeros(dim)]:
             own = int(ids[0])
             best, scores = threshold_search(vectors, ids, lists, query, own, 5)
@@ -34,24 +34,43 @@ def test_threshold_search_equals_brute_force():
 
 
 def test_the_search_stops_early():
-    """One candidate far ahead in every list: few are read."""
-
-    class Counting(np.ndarray):
-        pass
-
-    n = 50_000
-    vectors = np.random.default_rng(1).normal(0, 1, (n, 2))
-    vectors[:5] += 1000
-    seen = []
-    real = np.partition
-
-    lists = np.argsort(vectors, axis=0, kind="stable").T.copy()
-    np.partition = lambda a, k: seen.append(len(a)) or real(a, k)
-    try:
-        best, _ = threshold_search(vectors, np.arange(n), lists, np.array([1.0, 1.0]), -1, 5)
-    finally:
-        np.partition = real
-    assert sorted(best) == [0, 1, 2, 3, 4] and max(seen) < n / 100
+    """Few components decide: few entries are read, few candidates scored."""
+    r = np.random.default_rng(1)
+    n, dim = 20_000, 32
+    vectors = np.floor(r.normal(0, 1, (n, dim)) * np.geomspace(1000, 1, dim))
+    lists, ids = sorted_lists(vectors), np.arange(n)
+    reading: dict[str, int] = {}
+    for query in vectors[:10]:
+        best, scores = threshold_search(vectors, ids, lists, query, -1, 5, reading=reading)
+        wanted = np.lexsort((ids, -(vectors @ query)))[:5]
+        assert best.tolist() == wanted.tolist() and scores.tolist() == (vectors @ query)[wanted].tolist()
+    assert reading["read"] < 10 * n * dim / 20 and reading["scored"] < 10 * n / 2
+
+
+def test_reading_on_the_sample(spark):
+    """What the algorithm reads of real lists: it stops, at a part of each list's depth, and scores no row twice."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    vectors, ids = np.floor(256 * np.array([r.embedding for r in rows], float)), np.array([r.vec_id for r in rows])
+    lists, reading = sorted_lists(vectors), {}
+    for query, own in zip(vectors[::50], ids[::50], strict=True):
+        best, _ = threshold_search(vectors, ids, lists, query, own, 5, reading=reading)
+        other = ids != own
+        assert best.tolist() == ids[other][np.lexsort((ids[other], -(vectors[other] @ query)))][:5].tolist()
+    asked = len(ids[::50])
+    assert reading["read"] < 0.45 * asked * vectors.size and reading["scored"] <= asked * len(ids)
+
+
+def test_a_floor_from_elsewhere_ends_the_search_at_once():
+    r = np.random.default_rng(2)
+    vectors = np.floor(r.normal(0, 50, (5000, 8)))
+    lists, ids, query = sorted_lists(vectors), np.arange(5000), np.floor(r.normal(0, 50, 8))
+    scores = vectors @ query
+    reading: dict[str, int] = {}
+    best, _ = threshold_search(vectors, ids, lists, query, -1, 5, floor=scores.max() * 4, reading=reading)
+    assert not len(best) and not reading
+    floor = np.sort(scores)[-3]
+    best, got = threshold_search(vectors, ids, lists, query, -1, 5, floor=floor)
+    assert best.tolist() == np.lexsort((ids, -scores))[:3].tolist() and (got >= floor).all()
 
 
 def test_top_k_edges(spark):
@@ -64,6 +83,14 @@ def test_top_k_edges(spark):
     assert blocks == got
 
 
+def test_repeated_query_ids_are_queries_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, [3.0, 3.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    wanted = sorted([(0, 1, 3, 3 * 65536), (0, 2, 1, 65536), (0, 3, 2, 0), (0, 1, 3, 3 * 65536), (0, 2, 2, 2 * 65536), (0, 3, 1, 0)])
+    for block in (4096, 1):
+        assert sorted(tuple(r) for r in exact_top_k(table, F.col("vec_id") % 50 == 0, block=block).collect()) == wanted
+
+
 def test_shards_follow_the_definition(spark, small):
     """The same order by a plain sort."""
     import hashlib
@@ -177,21 +204,3 @@ def test_blocks_beside_the_densest_one_stay():
 def test_lists_of_links_in_an_article_stay():
     page = f"<article><p>{LONG}</p><p>{LONG}</p><ul><li><a>source one</a><li><a>source two</a><li><a>source three</a></ul></article>"
     assert main_text(page).split("\n")[2:] == ["source one", "source two", "source three"]
-
-
-def test_every_row_is_scored_at_most_once():
-    scored = []
-
-    class Counted(np.ndarray):
-        def __matmul__(self, other):
-            scored.append(len(self))
-            return np.asarray(self) @ other
-
-    vectors = np.floor(np.random.default_rng(7).normal(0, 100, (500, 32)))
-    vectors[:8] += 400
-    query = np.abs(vectors[0])
-    lists = np.argsort(vectors, axis=0, kind="stable").T.copy()
-    ids, got = threshold_search(vectors.view(Counted), np.arange(500), lists, query, -1, 5)
-    best = np.lexsort((np.arange(500), -(vectors @ query)))[:5]
-    assert ids.tolist() == best.tolist() and got.tolist() == (vectors @ query)[best].tolist()
-    assert 125 < sum(scored) < 500
