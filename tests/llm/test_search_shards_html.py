@@ -204,3 +204,112 @@ def test_blocks_beside_the_densest_one_stay():
 def test_lists_of_links_in_an_article_stay():
     page = f"<article><p>{LONG}</p><p>{LONG}</p><ul><li><a>source one</a><li><a>source two</a><li><a>source three</a></ul></article>"
     assert main_text(page).split("\n")[2:] == ["source one", "source two", "source three"]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><form action=x><div>menu</div>{}</form></body>",
+        "<body><form action=x><nav><a>m</a></nav><article>{}</article></form></body>",
+        '<body><div class="sidebar-right">{}</div><div class="sidebar">about us</div></body>',
+        '<body><div class="post share">{}</div><div class="share">tweet</div></body>',
+        '<body><div id="search-result-article">{}</div><div id="search">find</div></body>',
+        '<body class="no-js"><div class="page has-banner"><div class="banner">Sale</div><div class="comments-open">{}</div></div></body>',
+        "<body><div role=search><input>find</div><div role=form>{}</div></body>",
+    ],
+)
+def test_a_name_never_outweighs_the_text(page):
+    text = f"<h1>T</h1><p>{LONG}</p><p>{LONG}</p>"
+    wanted = f"T\n{LONG.strip()}\n{LONG.strip()}"
+    got = main_text(page.format(text)).split("\n")
+    assert [x for x in got if x not in ("menu",)] == wanted.split("\n")
+
+
+def test_long_threads_of_comments_go():
+    page = f"<body><div class=page><h1>T</h1><p>{LONG}</p><p>{LONG}</p></div><div id=comments>" + f"<div class=comment><p>{LONG}!</p></div>" * 6 + "</div></body>"
+    assert main_text(page) == f"T\n{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_several_teasers_are_no_article():
+    page = "<body><div>" + f"<p>{LONG}</p>" * 4 + "</div><div>" + "<article><a>more</a> short</article>" * 3 + "</div></body>"
+    assert main_text(page).split("\n")[:4] == [LONG.strip()] * 4
+
+
+def test_densities_equal_brute_force():
+    """Composite text density by its definition, counted anew for each node of random trees."""
+    import math
+
+    from tidemark.llm.html_text import _densities, _Tree
+
+    r = random.Random(9)
+
+    def grow(depth):
+        kids = [grow(depth + 1) if r.random() < 0.6 and depth < 6 else "w" * r.randint(0, 30) for _ in range(r.randint(0, 4))]
+        return (r.choice(["div", "section", "span", "a", "em"]), kids)
+
+    def markup(node):
+        return node if isinstance(node, str) else f"<{node[0]}>" + "".join(map(markup, node[1])) + f"</{node[0]}>"
+
+    def counted(node, linked):
+        """characters, tags, linked characters, links below a node"""
+        c = t = lc = lt = 0
+        for kid in node[1]:
+            if isinstance(kid, str):
+                c, lc = c + len(kid), lc + len(kid) * linked
+            else:
+                kc, kt, klc, klt = counted(kid, linked or kid[0] == "a")
+                c, t, lc, lt = c + kc, t + kt + 1, lc + klc, lt + klt + (kid[0] == "a")
+        return c, t, lc, lt
+
+    def density(node, linked, share):
+        c, t, lc, lt = counted(node, linked)
+        if not c:
+            return 0.0
+        t1, lc1, lt1 = max(t, 1), max(lc, 1), max(lt, 1)
+        base = math.log(c / max(c - lc, 1) * lc + share * c + math.e)
+        return c / t1 * math.log(max(c / lc1 * t1 / lt1, 1)) / math.log(max(base, math.e))
+
+    checked = 0
+    for _ in range(300):
+        root = ("div", [grow(0) for _ in range(3)])
+        c, _, lc, _ = counted(root, False)
+        share = lc / c if c else 0
+        wanted, sums = [], []
+
+        def walk(node, linked):
+            linked = linked or node[0] == "a"
+            wanted.append(density(node, linked, share))
+            sums.append(sum(density(k, linked or k[0] == "a", share) for k in node[1] if not isinstance(k, str)))
+            for kid in node[1]:
+                if not isinstance(kid, str):
+                    walk(kid, linked)
+
+        walk(root, False)
+        tree = _Tree(markup(root))
+        got, got_sums, *_ = _densities(tree, [False] * len(tree.tag))
+        assert got[1:] == pytest.approx(wanted) and got_sums[1:] == pytest.approx(sums)
+        checked += len(wanted)
+    assert checked > 3000
+
+
+def test_hostile_markup_takes_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for atom in ['<a href="', "<!--", "<![CDATA[", "<script>", "<a ", "<", "</", "<!", "&#", "<p ", "<td>", "='", "<p>", '<div class="a b">', "<title>"]:
+        for end in ("", '">', "x"):
+            main_text(atom * 100_000 + end)
+    assert time.perf_counter() - began < 90
+
+
+def test_ends_that_are_missing():
+    assert main_text("<p>a</p><a href='x") == "a"
+    assert main_text('<p title="a > b">c</p>') == "c"
+    assert main_text("<p>a < b and c<d</p>") == "a < b and c"
+    assert main_text("<!-- x --><p>a</p><!-->b<!--->c--!>d") == "a\nbc--!>d"
+    assert main_text("<script>if (a < b) '</p>'</SCRIPT><p>x</p><script>y") == "x"
+
+
+def test_page_columns_with_clashing_names(spark):
+    table = spark.createDataFrame([(1, "u", "<p>x</p>", 1, "a"), (1, "u", "<p>x</p>", 1, "a")], "page_id long, url string, html string, id int, n_chars string")
+    assert [tuple(x) for x in extract_pages(table).collect()] == [(1, "u", "x", 1)] * 2
