@@ -8,162 +8,40 @@ asks for.  One pass adds up the texts' bytes, one counts units, `rounds` passes
 whole corpus, one scores with the network.  None of them shuffles documents; what is shuffled are counts and copies of
 the model, one for each core.
 
-A small exact model of one neighbour on each side and a given number of words remains for callers that name `frequent`:
-its likelihood depends only on a table of window counts.  No query uses it.
-
-Cases.  Null and empty texts have no tokens and score 0, their mean is null.  Ids may be null and may repeat: one row
-comes out for each row.  An empty table gives an empty result.  Extra columns are ignored.
+Cases.  Null and empty texts have no tokens and score 0, their mean is null.  Texts of any length are scored whole.  Ids
+may be null and may repeat: one row comes out for each row.  An empty table gives an empty result.  Extra columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, ship
+from .common import map_arrow
 from .window_network import Encoder, fit_network
 
-BOUNDARY, CLASSES = 0, 32
-
-
-class Vocabulary:
-    """Words to ids: 0 is the boundary, then the classes of rare words, then the frequent words."""
-
-    def __init__(self, frequent: list[bytes]) -> None:
-        self.size = 1 + CLASSES + len(frequent)
-        self.ids = {w: 1 + CLASSES + k for k, w in enumerate(frequent)}
-
-    @staticmethod
-    def class_of(word: bytes) -> int:
-        size, last = min(3, len(word) // 4), word[-1]
-        end = 0 if chr(last).isalnum() and last < 128 else 1 if last in b".,;:!?" else 2 if last < 128 else 3
-        return 1 + size * 8 + end * 2 + (65 <= word[0] <= 90)
-
-    def windows(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """For each token the number of its pair of neighbours, and the token."""
-        words, ids = (text or "").encode().split(), self.ids
-        if not words:
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        known = {w: ids[w] if w in ids else self.class_of(w) for w in set(words)}
-        t = np.fromiter((BOUNDARY, *map(known.__getitem__, words), BOUNDARY), np.int64, len(words) + 2)
-        return t[:-2] * self.size + t[2:], t[1:-1]
-
-
-def word_counts(docs: DataFrame, text_col: str = "text", limit: int = 200_000) -> DataFrame:
-    """word (binary), n, over all documents; each task hands on its counts whenever it holds `limit` words."""
-    ship(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-            counts.clear()
-            return made
-
-        for batch in batches:
-            for text in batch["text"]:
-                counts.update((text.as_py() or "").encode().split())
-                if len(counts) >= limit:
-                    yield out()
-        yield out()
-
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def window_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> np.ndarray:
-    """Counts over all documents, as an array [pair of neighbours, token]."""
-    ship(docs.sparkSession)
-    v = vocabulary.size
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(v**3, np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                pair, token = vocabulary.windows(text.as_py())
-                np.add.at(sums, pair * v + token, 1)
-        at = np.flatnonzero(sums)
-        for low in range(0, len(at), 100_000):
-            part = at[low : low + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(sums[part])], ["code", "n"])
-
-    summed = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    rows = summed.toArrow()  # at most vocabulary^3 rows
-    counts = np.zeros(v**3, np.float32)
-    counts[rows["code"].to_numpy()] = rows["n"].to_numpy()
-    return counts.reshape(v * v, v)
-
-
-def train_network(counts: np.ndarray, hidden: int = 32, steps: int = 120, rate: float = 0.05, seed: int = 5) -> np.ndarray:
-    """Fit tanh(left[l] + right[r] + bias) @ out + constant to the window counts; log-probabilities [pair, token]."""
-    v = counts.shape[1]
-    random = np.random.default_rng(seed)
-    shapes = {"left": (v, hidden), "right": (v, hidden), "bias": (hidden,), "out": (hidden, v), "constant": (v,)}
-    w = {k: random.normal(0, 0.1, s).astype(np.float32) for k, s in shapes.items()}
-    share = (counts.sum(axis=0) + 1) / (counts.sum() + v)
-    w["constant"] = np.log(share).astype(np.float32)
-    m, s = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
-    seen = np.flatnonzero(counts.sum(axis=1))
-    left, right, target = seen // v, seen % v, counts[seen]
-    mass = target.sum(axis=1, keepdims=True)
-    total = max(float(mass.sum()), 1.0)
-    by_left, by_right = (np.zeros((v, len(seen)), np.float32) for _ in range(2))
-    by_left[left, np.arange(len(seen))] = 1
-    by_right[right, np.arange(len(seen))] = 1
-
-    def forward(l: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = np.tanh(w["left"][l] + w["right"][r] + w["bias"])
-        z = h @ w["out"] + w["constant"]
-        z -= z.max(axis=1, keepdims=True)
-        return h, z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-    for t in range(1, steps + 1 if len(seen) else 1):
-        h, logp = forward(left, right)
-        d = (np.exp(logp) * mass - target) / total
-        back = (d @ w["out"].T) * (1 - h * h)
-        gradient = {"left": by_left @ back, "right": by_right @ back, "bias": back.sum(axis=0), "out": h.T @ d, "constant": d.sum(axis=0)}
-        for k, g in gradient.items():
-            m[k] = 0.9 * m[k] + 0.1 * g
-            s[k] = 0.99 * s[k] + 0.01 * g * g
-            w[k] -= np.float32(rate / (1 + 3 * t / steps)) * (m[k] / np.float32(1 - 0.9**t)) / (np.sqrt(s[k] / np.float32(1 - 0.99**t)) + np.float32(1e-8))
-    every = np.arange(v * v)
-    return forward(every // v, every % v)[1].astype(np.float32)
-
-
-def pseudo_likelihood(docs: DataFrame, frequent: int | None = None, window: int = 4, id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
-    """One row per document: id, n_tokens, log_likelihood, mean_log_likelihood.
-
-    frequent: use the small exact model with so many words, which knows one neighbour on each side, instead.
-    """
-    if frequent is None:
-        shared = docs.sparkSession.sparkContext.broadcast(fit_network(docs, window, text_col=text_col, **training))
-
-        encoders: list[Encoder] = []  # one for each worker, with its memory of hashes
 
-        def score(texts: list[str | None]) -> tuple[list[int], list[float]]:
-            network = shared.value
-            if not encoders:
-                encoders.append(Encoder(network.units, network.window))
-            encoder = encoders[0]
-            ids = [encoder.words(t) for t in texts]
-            counts = [len(x) for x in ids]
-            sums = np.concatenate([[0.0], np.cumsum(network.log_probabilities(encoder.sequence(ids)), dtype=np.float64)])
-            ends = np.cumsum([0, *counts])
-            return counts, np.diff(sums[ends]).tolist()
+def pseudo_likelihood(docs: DataFrame, window: int = 4, id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
+    """One row per document: id, n_tokens, log_likelihood, mean_log_likelihood."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit_network(docs, window, text_col=text_col, **training))
 
-    else:
-        top = word_counts(docs, text_col).orderBy(F.col("n").desc(), "word").limit(frequent).collect()
-        vocabulary = Vocabulary([bytes(r["word"]) for r in top])
-        shared = docs.sparkSession.sparkContext.broadcast(train_network(window_counts(docs, vocabulary, text_col), **training))
+    encoders: list[Encoder] = []  # one for each worker, with its memory of hashes
 
-        def score(texts: list[str | None]) -> tuple[list[int], list[float]]:
-            found = [vocabulary.windows(t) for t in texts]
-            return [len(token) for _, token in found], [float(shared.value[pair, token].sum(dtype=np.float64)) for pair, token in found]
+    def score(texts: list[str | None]) -> tuple[list[int], list[float]]:
+        network = shared.value
+        if not encoders:
+            encoders.append(Encoder(network.units, network.window))
+        encoder = encoders[0]
+        ids = [encoder.words(t) for t in texts]
+        counts = [len(x) for x in ids]
+        sums = np.concatenate([[0.0], np.cumsum(network.log_probabilities(encoder.sequence(ids)), dtype=np.float64)])
+        ends = np.cumsum([0, *counts])
+        return counts, np.diff(sums[ends]).tolist()
 
     def each() -> Callable:
         def work(batch: pa.RecordBatch) -> dict:

@@ -6,6 +6,7 @@ bound; no dictionary is kept.  Ids follow from the words alone, so they are the
 Network.  The vectors of `window` neighbours on each side, each weighted by a vector of its position, and a constant
 are summed; a Huffman tree over the units turns the sum into the probability of the middle word.  The probabilities of
 all units sum to one.  Each inner node starts from the corpus' counts, so training starts from the word frequencies.
+The heaviest TOP inner nodes, which make up most of every path, are handled as one matrix, the others one by one.
 
 Training.  The documents are dealt to as many tasks as the session has cores, in `rounds` slices by a hash of the text.
 In each round every task trains its own copy on all windows of its part of the slice; the copies are averaged, each
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import ship
 
-DIM, BATCH, BLOCK = 16, 4096, 4096
+DIM, BATCH, BLOCK, TOP = 16, 4096, 4096, 64
 
 
 def units_for(n_bytes: int) -> int:
@@ -65,14 +66,15 @@ class Encoder:
 
 
 class Tree:
-    """A Huffman tree over the units: for each unit the inner nodes on its path and the side taken."""
+    """A Huffman tree over the units: for each unit the inner nodes on its path, from the leaf upwards, and the side
+    taken.  Inner nodes are numbered from the heaviest, so those below `top` are the upper part of every path."""
 
     def __init__(self, counts: np.ndarray) -> None:
         n = len(counts)
         order = np.argsort(counts, kind="stable")
         weight = [int(x) + 1 for x in counts[order]]
         parent, right = np.zeros(2 * n - 1, np.int32), np.zeros(2 * n - 1, bool)
-        self.odds = np.zeros(n - 1, np.float32)
+        odds = np.zeros(n - 1, np.float32)
         leaf, inner = 0, n
         for new in range(n, 2 * n - 1):
             pair = []
@@ -87,7 +89,9 @@ class Tree:
             parent[a] = parent[b] = new
             right[b] = True
             weight.append(weight[a] + weight[b])
-            self.odds[new - n] = np.log(weight[b] / weight[a])
+            odds[new - n] = np.log(weight[b] / weight[a])
+        self.odds = odds[::-1].copy()  # weights rise with the number of a node: the root is the last
+        self.top = min(TOP, n - 1)
         root = 2 * n - 2
         leaves = np.empty(n, np.int64)
         leaves[order] = np.arange(n)
@@ -101,11 +105,23 @@ class Tree:
         self.nodes, self.sign = np.empty(self.depth.sum(), np.int32), np.empty(self.depth.sum(), np.int8)
         at, to, live = leaves, self.start.copy(), np.arange(n)
         while len(live):
-            self.nodes[to[live]] = parent[at[live]] - n
+            self.nodes[to[live]] = root - parent[at[live]]
             self.sign[to[live]] = 2 * right[at[live]] - 1
             at[live] = parent[at[live]]
             to[live] += 1
             live = live[at[live] != root]
+        self.low = np.add.reduceat(self.nodes >= self.top, self.start).astype(np.int32)  # nodes of the path below the top
+
+    def paths(self, units: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], ...]:
+        """For the lower and the upper parts of the units' paths: which of the units, the nodes, the signs."""
+        start, low, depth = self.start[units], self.low[units], self.depth[units]
+
+        def part(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            which = np.repeat(np.arange(len(units)), length)
+            at = np.arange(len(which)) + np.repeat(begin - (np.cumsum(length) - length), length)
+            return which, self.nodes.take(at), self.sign.take(at).astype(np.float32)
+
+        return part(start, low), part(start + low, depth - low)
 
 
 def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,55 +155,80 @@ class Network:
         place = np.full((2 * window + 1, DIM), 1 / np.sqrt(2 * window), np.float32)
         return cls(window, Tree(counts), table, np.full(2 * n, 1e-3, np.float32), place, np.full(2 * window + 1, 1e-3, np.float32))
 
-    def _forward(self, seq: np.ndarray) -> tuple:
-        w, tree = self.window, self.tree
+    def _sums(self, seq: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray]:
+        """The vectors of the sequence, the shifts of the neighbours, and the sum for each place."""
+        w = self.window
         n = len(seq) - 2 * w
         e = self.table.take(seq, axis=0)
         shifts = [s for s in range(2 * w + 1) if s != w]
         h = np.repeat(self.place[-1:], n, axis=0)
         for p, s in enumerate(shifts):
             h += self.place[p] * e[s : s + n]
-        middle = seq[w : w + n]
+        return e, shifts, h
+
+    def _paths(self, seq: np.ndarray, h: np.ndarray) -> tuple:
+        """The places with a word, their sums, and for the lower and the upper parts of the words' paths: which of the
+        places, the nodes, the signs and the scores, for the lower part with the vectors on both sides."""
+        middle = seq[self.window : len(seq) - self.window]
         real = np.flatnonzero(middle < self.units)
-        t = middle[real]
-        length = tree.depth[t]
-        first = np.cumsum(length) - length
-        at = np.arange(length.sum()) + np.repeat(tree.start[t] - first, length)
-        node, sign = tree.nodes.take(at), tree.sign.take(at).astype(np.float32)
-        hs, outs = h.take(np.repeat(real, length), axis=0), self.table.take(node + (self.units + 1), axis=0)
-        z = sign * (np.einsum("ij,ij->i", hs, outs) + tree.odds.take(node))
-        return e, shifts, real, first, node, sign, hs, outs, z
+        own = h if len(real) == len(h) else h.take(real, axis=0)
+        (low_of, low, low_sign), (top_of, top, top_sign) = self.tree.paths(middle[real])
+        hs, outs = own.take(low_of, axis=0), self.table.take(low + (self.units + 1), axis=0)
+        low_z = low_sign * (np.einsum("ij,ij->i", hs, outs) + self.tree.odds.take(low))
+        upper = self.upper
+        flat = top_of * len(upper) + top
+        top_z = top_sign * ((own @ upper.T).ravel().take(flat) + self.tree.odds.take(top))
+        return real, own, (low_of, low, low_sign, low_z, hs, outs), (top, top_sign, top_z, flat, top_of)
+
+    @property
+    def upper(self) -> np.ndarray:
+        """The vectors of the upper inner nodes."""
+        return self.table[self.units + 1 : self.units + 1 + self.tree.top]
 
     def log_probabilities(self, seq: np.ndarray) -> np.ndarray:
         """For each word of the sequence, in order."""
-        w, out = self.window, [np.empty(0, np.float32)]
-        for low in range(w, len(seq) - w, BATCH):
-            *_, first, _, _, _, _, z = self._forward(seq[low - w : min(low + BATCH, len(seq) - w) + w])
-            if len(first):
-                out.append(-np.add.reduceat(np.log(1 + np.exp(np.minimum(-z, 80))), first))
+        w, out = self.window, [np.empty(0)]
+        for begin in range(w, len(seq) - w, BATCH):
+            piece = seq[begin - w : min(begin + BATCH, len(seq) - w) + w]
+            real, _, (low_of, _, _, low_z, _, _), (_, _, top_z, _, top_of) = self._paths(piece, self._sums(piece)[2])
+            of, z = np.concatenate([low_of, top_of]), np.concatenate([low_z, top_z])
+            out.append(-np.bincount(of, np.log1p(np.exp(np.minimum(-z, 80))), len(real)))
         return np.concatenate(out)
 
     def train(self, seq: np.ndarray, touched: np.ndarray, rate: float = 0.1) -> None:
         """One step for each minibatch; touched: counts the uses of each row."""
-        w = self.window
-        for low in range(w, len(seq) - w, BATCH):
-            piece = seq[low - w : min(low + BATCH, len(seq) - w) + w]
-            n = len(piece) - 2 * w
-            e, shifts, real, first, node, sign, hs, outs, z = self._forward(piece)
+        w, first_node = self.window, self.units + 1
+        for begin in range(w, len(seq) - w, BATCH):
+            piece = seq[begin - w : min(begin + BATCH, len(seq) - w) + w]
+            e, shifts, h = self._sums(piece)
+            real, own, (low_of, low, low_sign, low_z, hs, outs), (top, top_sign, top_z, flat, _) = self._paths(piece, h)
             if not len(real):
                 continue
-            g = (sign / (1 + np.exp(np.clip(z, -30, 30))))[:, None]
-            dh = np.zeros((n, DIM), np.float32)
-            dh[real] = np.add.reduceat(g * outs, first, axis=0)
+            n, upper = len(h), self.upper
+            pull = np.zeros((len(real), len(upper)), np.float32)
+            pull.ravel()[flat] = top_sign / (1 + np.exp(np.clip(top_z, -30, 30)))
+            d_own = pull @ upper
+            g = (low_sign / (1 + np.exp(np.clip(low_z, -30, 30))))[:, None]
+            if len(low_of):
+                begins = np.flatnonzero(np.concatenate([[True], low_of[1:] != low_of[:-1]]))
+                d_own[low_of[begins]] += np.add.reduceat(g * outs, begins, axis=0)
+            dh = d_own
+            if len(real) != n:
+                dh = np.zeros((n, DIM), np.float32)
+                dh[real] = d_own
             de, dplace = np.zeros_like(e), np.empty_like(self.place)
             for p, s in enumerate(shifts):
                 de[s : s + n] += self.place[p] * dh
                 dplace[p] = np.einsum("ij,ij->j", dh, e[s : s + n])
             dplace[-1] = dh.sum(axis=0)
-            for rows, d, times in (_summed(node + (self.units + 1), g * hs), _summed(piece, de)):
-                self.squares[rows] += np.einsum("ij,ij->i", d, d) / DIM
-                self.table[rows] += rate * d / np.sqrt(self.squares[rows])[:, None]
-                touched[rows] += times
+            above = slice(first_node, first_node + len(upper)), pull.T @ own, np.bincount(top, minlength=len(upper))
+            below = _summed(low + first_node, g * hs) if len(low) else None
+            for update in (above, below, _summed(piece, de)):
+                if update is not None:
+                    rows, d, times = update
+                    self.squares[rows] += np.einsum("ij,ij->i", d, d) / DIM
+                    self.table[rows] += rate * d / np.sqrt(self.squares[rows])[:, None]
+                    touched[rows] += times
             self.place_squares += np.einsum("ij,ij->i", dplace, dplace) / DIM
             self.place += rate / 4 * dplace / np.sqrt(self.place_squares)[:, None]
 
