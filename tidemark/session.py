@@ -31,8 +31,14 @@ def local_session(cpus: int | str = "*", partitions: int = 8, name: str = "tidem
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder where the cluster's executors can all write: below spark.checkpoint.dir, or local where none is set."""
+    """A new folder where the cluster's executors can all write, below spark.checkpoint.dir.
+
+    Where none is set, a session on one machine gets a temporary folder; on a cluster that is an error, as executors
+    would write to their own disks.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = f"{named or tempfile.mkdtemp(prefix='tidemark-')}/tidemark/{uuid.uuid4().hex}"
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
