@@ -1,3 +1,5 @@
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from tests.llm.test_dedup import brute
 from tests.llm.test_pii import base
@@ -24,6 +26,10 @@ def test_run_equals_brute_force(spark, small):
         clean[i] = text
     rows = corpus_pipeline.run(spark, small).collect()
     used = check_packing(rows, clean, 1024)
+    pieces = {(r.doc_id, r.piece): r.ids for r in rows}
+    library = Tokenizer.from_file(BPE)
+    for i, text in clean.items():
+        assert [x for k in range(sum(d == i for d, _ in pieces)) for x in pieces[i, k]] == [*library.encode(text, add_special_tokens=False).ids, 2]
     from collections import Counter
 
     assert used <= lower_bound(Counter(r.length for r in rows), 1024) + 1
@@ -36,4 +42,12 @@ def test_stages_keep_the_columns(spark, small):
         out = stage(spark, docs.limit(0), small)
         assert [(f.name, f.dataType) for f in out.schema] == [(f.name, f.dataType) for f in docs.schema] and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), small).count() == 0
-    assert BPE
+
+
+def test_crowded_table(spark, small, crowded):
+    """Nulls, repeats, a long text and clashing names through all stages; the sample's labels know only ids 1 to 7."""
+    kept = {r.doc_id: r.text for r in corpus_pipeline.quality(spark, crowded, small).collect()}
+    rows = corpus_pipeline.run_on(spark, crowded, small).collect()
+    assert {r.doc_id for r in rows} <= set(kept) and not {3, 4, 6} & {r.doc_id for r in rows}
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows)
+    assert corpus_pipeline.run_on(spark, crowded.limit(0), small).count() == 0
