@@ -17,7 +17,7 @@ bronze as (
         s.shipped + to_hours(o.o_orderkey % 13) as closed_date,
         n.n_name as agency, 'Department of ' || n.n_name as agency_name,
         ' ' || lower(o.o_orderpriority) as complaint_type,
-        case when o.o_orderkey % 50 <> 0 then c.c_mktsegment end as descriptor,
+        case when o.o_orderkey % 50 <> 0 then c.c_mktsegment || case when o.o_orderkey % 97 = 0 and o.o_orderdate >= timestamp '1997-01-01' then ' NEW' else '' end end as descriptor,
         lpad(cast(o.o_custkey % 100000 as varchar), 5, '0') as incident_zip,
         case o.o_orderstatus when 'F' then 'Closed' when 'O' then 'Open' else 'In Progress' end as status,
         lpad(cast(n.n_nationkey % 12 as varchar), 2, '0') || ' ' || r.r_name as community_board,
@@ -74,17 +74,20 @@ _HOURS = "case when is_settled and is_closed and not is_undated_closure then res
 _NAIVE_HOURS = "date_diff('hour', created_date, closed_date)"
 _TOP = lambda n: f"(select complaint_type from fact group by 1 order by count(*) desc, 1 limit {n})"
 
-_RATES = lambda sigmas: f""", months as (
+_RATES = lambda sigmas: f""", cutoffs as (
     select unnest(generate_series(min(month) + interval '1 month', date_trunc('month', {_TODAY}::timestamp) + interval '1 month', interval '1 month')) as scan_month from fact
-), evaluated as (
-    select m.scan_month, a.agency, count(*) filter (where f.status = 'Closed') as closed_rows, count(*) filter (where f.status = 'Closed' and f.closed_date is null) as undated_closure_rows
-    from months m cross join (select distinct agency from fact) a left join fact f on f.agency = a.agency and f.created_local < m.scan_month group by 1, 2
-), rates as (select *, case when closed_rows > 0 then 100.0 * undated_closure_rows / closed_rows end as rate from evaluated),
-limits as (select scan_month, avg(rate) + {sigmas} * stddev_pop(rate) as threshold from rates where agency <> 'CHINA' group by 1),
-rate_detector as (
-    select scan_month, agency, closed_rows, undated_closure_rows, round(rate * 10000) / 10000 as undated_closure_rate_pct, {_SIX("threshold")} as threshold_pct,
-        coalesce(rate > threshold, false) as fired
-    from rates join limits using (scan_month)
+), closures as (
+    select agency, created_local, closed_date is null as dateless from fact where status = 'Closed'
+), counted as (
+    select c.scan_month, a.agency, (select count(*) from closures x where x.agency = a.agency and x.created_local < c.scan_month) as closed_rows,
+        (select count(*) from closures x where x.agency = a.agency and x.created_local < c.scan_month and x.dateless) as undated_closure_rows
+    from cutoffs c, (select distinct agency from fact) a
+), shared as (
+    select *, 100.0 * undated_closure_rows / nullif(closed_rows, 0) as pct from counted
+), rate_detector as (
+    select s.scan_month, s.agency, s.closed_rows, s.undated_closure_rows, round(s.pct * 10000) / 10000 as undated_closure_rate_pct, {_SIX("t.bar")} as threshold_pct,
+        coalesce(s.pct > t.bar, false) as fired
+    from shared s join (select scan_month, avg(pct) + {sigmas} * stddev_pop(pct) as bar from shared where agency <> 'CHINA' group by 1) t on t.scan_month = s.scan_month
 )"""
 _DRIFT = f""", shares as (
     select month, complaint_type, count(*) as n, 100.0 * count(*) / (select count(*) from fact x where x.month = f.month) as share
@@ -111,13 +114,14 @@ _COMPLETE = f""", cohorts as (
 ), completeness as (
     select *, case when completeness_pct_45d < 85 then 'fail' when completeness_pct_45d < 90 then 'warn' else 'pass' end as status from complete
 )"""
-_TOUCH = """, hours as (
+_TOUCHES = lambda sigmas: f""", hours as (
     select date_trunc('hour', updated_at) as hour_bucket, count(distinct agency) as distinct_agencies, count(*) as total_rows from fact group by 1
 ), eligible as (select * from hours where distinct_agencies >= 13),
 touch as (
     select e.*, round(t.x) as threshold_rows, total_rows > t.x as fired from eligible e
-    cross join (select avg(total_rows) + 3 * stddev_pop(total_rows) as x from eligible where total_rows < 100000) t
-)"""
+    cross join (select avg(total_rows) + {sigmas} * stddev_pop(total_rows) as x from eligible where total_rows < 100000) t
+)"""
+_TOUCH = _TOUCHES(3)
 
 _SHIFT = lambda column, where, whole: f"""
     select {column}, month, share - lag(share) over (partition by {column} order by month) as delta from (
@@ -226,7 +230,6 @@ SQL: dict[str, str] = {
     "Q8_fact": f"{_STAR} select {_FACT_COLUMNS} from fact",
     "Q9_undated_closure_rate": f"{_STAR} {_RATES(5)} select * from rate_detector",
     "Q9_undated_closure_rate_one_sigma": f"{_STAR} {_RATES(1)} select * from rate_detector",
-    "J8_undated_closure_rate_by_join": f"{_STAR} {_RATES(5)} select * from rate_detector",
     "Q10_composition_drift": f"{_STAR} {_DRIFT} select * from drift",
     "Q11_vocabulary_drift": f"{_STAR} {_WORDS} select * from words",
     "Q12_settlement_completeness": f"{_STAR} {_COMPLETE} select * from completeness",
@@ -254,7 +257,7 @@ SQL: dict[str, str] = {
     "Q20_missing_coordinates": f"{_STAR} select {_PCT('count(*) filter (where not has_valid_coordinates)', 'count(*)', 2)} as missing_coord_pct from fact",
     "Q21_seasonality": f"{_SEASONAL} select * from seasonal",
     "Q22_naive_vs_correct": f"{_STAR} select median({_HOURS}) as correct_median_resolution_hours, median({_NAIVE_HOURS}) as naive_median_resolution_hours from fact",
-    "Q23_mass_touch_fired": f"{_STAR} {_TOUCH} select * from touch where fired",
+    "Q23_mass_touch_fired": f"{_STAR} {_TOUCHES(1)} select * from touch where fired",
     "Q24_latest_scorecard": f"{_WHOLE} {_HISTORY} select * from merged where run_date = (select max(run_date) from merged)",
     "Q24_scorecard_trend": f"""{_WHOLE} {_HISTORY} select run_date, count(*) as checks_run, count(*) filter (where status in ('fail', 'warn')) as checks_not_passing,
         {_PCT("count(*) filter (where status in ('pass', 'acknowledged', 'info'))", "count(*)", 1)} as pass_rate_pct from merged group by 1""",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import Config
 from ..functions.numbers import count_where, percent, rounded
 from ..functions.time import local
-from .detectors import month_start, monthly_shares, top_values, union_all
+from .detectors import described, month_start, monthly_shares, top_values, union_all
 from .models import Warehouse
 
 
@@ -30,7 +30,7 @@ def _measures(house: Warehouse) -> DataFrame:
     cohort = F.col("is_settled") & (F.col("created_date") >= config.midnight(-75)) & (F.col("created_date") < config.midnight(-45))
     hours = F.when(cohort & F.col("is_closed"), F.col("resolution_hours"))
     percentile = lambda q: F.percentile(hours, F.lit(q))  # noqa: E731  exact
-    return house.described.agg(
+    return house.fact.where("agency_key is not null and complaint_type_key is not null").agg(
         count_where(day == F.date_sub(F.lit(config.today), 2)).alias("volume"),
         percent(F.sum(F.when(recent & ~F.col("has_valid_coordinates"), 1).when(recent, 0)), count_where(recent)).alias("missing"),
         percentile(0.5).alias("median"),
@@ -45,8 +45,9 @@ def _deltas(shares: DataFrame, column: str, config: Config) -> DataFrame:
     return shares.withColumn("mom_delta", F.col("pct_share") - before).where(F.col("month") >= month_start(config, -2))
 
 
-def _type_rows(house: Warehouse) -> DataFrame:
-    return house.described.join(top_values(house.described, "complaint_type", house.config.shift_types), "complaint_type", "left_semi")
+def _type_cells(house: Warehouse) -> DataFrame:
+    cells = described(house)
+    return cells.join(top_values(cells, "complaint_type", house.config.shift_types, "n"), "complaint_type", "left_semi")
 
 
 def scorecard_checks(house: Warehouse) -> DataFrame:
@@ -69,8 +70,8 @@ def scorecard_checks(house: Warehouse) -> DataFrame:
             _row(one, "missing_coordinate_rate", "trailing_30_days", missing, missing_text, within(missing, config.missing_band)),
             _row(one, "resolution_hours_p50_p90", "recently_settled_cohort", median, medians, within(median, config.median_band) & within(p90, config.p90_band)),
             _row(one, "closure_rate_at_settlement", "settlement_boundary_cohort", closed, pair(config.closure_band, "%"), within(closed, config.closure_band)),
-            shift(monthly_shares(_type_rows(house), "complaint_type", config), "complaint_type", "complaint_type_mom_share_shift", "top_10_types_trailing_2_months"),
-            shift(monthly_shares(house.described, "agency", config), "agency", "agency_mom_share_shift", "all_agencies_trailing_2_months"),
+            shift(monthly_shares(_type_cells(house), "complaint_type"), "complaint_type", "complaint_type_mom_share_shift", "top_10_types_trailing_2_months"),
+            shift(monthly_shares(described(house), "agency"), "agency", "agency_mom_share_shift", "all_agencies_trailing_2_months"),
         ]
     )
 
@@ -99,7 +100,7 @@ def failed_rows(house: Warehouse) -> DataFrame:
             outside("missing_coordinate_rate", missing, off(missing, config.missing_band)),
             outside("resolution_hours_p50_p90", median, off(median, config.median_band) | off(p90, config.p90_band)),
             outside("closure_rate_at_settlement", closed, off(closed, config.closure_band)),
-            shifted("complaint_type_mom_share_shift", monthly_shares(_type_rows(house), "complaint_type", config, house.described), "complaint_type"),
-            shifted("agency_mom_share_shift", monthly_shares(house.described, "agency", config), "agency"),
+            shifted("complaint_type_mom_share_shift", monthly_shares(_type_cells(house), "complaint_type", described(house)), "complaint_type"),
+            shifted("agency_mom_share_shift", monthly_shares(described(house), "agency"), "agency"),
         ]
     )

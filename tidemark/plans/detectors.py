@@ -12,26 +12,31 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.numbers import count_where, percent, rounded
-from ..functions.time import days_crossed, hour_of, month_of, trunc_naive
+from ..functions.time import month_of, trunc_naive
 from .models import Warehouse
 
 
-def top_values(rows: DataFrame, column: str, n: int) -> DataFrame:
-    """The n most frequent values; equal counts go by the value."""
-    return rows.groupBy(column).count().orderBy(F.desc("count"), column).limit(n).select(column)
+def top_values(rows: DataFrame, column: str, n: int, weight: str | None = None) -> DataFrame:
+    """The n most frequent values; equal counts go by the value.  weight: a column that says how often a row counts."""
+    size = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return rows.groupBy(column).agg(size.alias("size")).orderBy(F.desc("size"), column).limit(n).select(column)
 
 
-def monthly_shares(rows: DataFrame, column: str, config: Config, of_all: DataFrame | None = None) -> DataFrame:
-    """month, column, n, total, pct_share: the share of each value in its month.
+def described(house: Warehouse) -> DataFrame:
+    """The monthly cells of requests that have an agency and a complaint type."""
+    return house.cells.where("agency is not null and complaint_type is not null")
 
-    The total is that of all rows given, or of another table's rows if it is passed.
+
+def monthly_shares(cells: DataFrame, column: str, of_all: DataFrame | None = None) -> DataFrame:
+    """month, column, n, total, pct_share: the share of each value in its month, from monthly cells.
+
+    The total is that of all cells given, or of other cells if they are passed.
     """
-    month = month_of(F.col("created_date"), config.timezone).alias("month")
-    counts = rows.groupBy(month, column).agg(F.count(F.lit(1)).alias("n"))
+    counts = cells.groupBy("month", column).agg(F.sum("n").alias("n"))
     if of_all is None:
         shares = counts.withColumn("total", F.sum("n").over(Window.partitionBy("month")))
     else:
-        shares = counts.join(of_all.groupBy(month).agg(F.count(F.lit(1)).alias("total")), "month")
+        shares = counts.join(of_all.groupBy("month").agg(F.sum("n").alias("total")), "month")
     return shares.withColumn("pct_share", percent(F.col("n"), F.col("total")))
 
 
@@ -70,9 +75,7 @@ def undated_closure_rate(house: Warehouse) -> DataFrame:
     counted once, not once for each later month.
     """
     config = house.config
-    rows = house.described.select("agency", "status", "closed_date", month_of(F.col("created_date"), config.timezone).alias("month"))
-    closed = F.col("status") == "Closed"
-    monthly = rows.groupBy("agency", "month").agg(count_where(closed).alias("closed"), count_where(closed & F.col("closed_date").isNull()).alias("undated"))
+    monthly = described(house).groupBy("agency", "month").agg(F.sum("closed").alias("closed"), F.sum("undated").alias("undated"))
     grid = _scan_months(monthly, config).crossJoin(monthly.select("agency").distinct())  # months * agencies
     at = monthly.withColumn("scan_month", (F.col("month") + F.expr("interval 1 month")).cast("timestamp_ntz")).drop("month")
     before = Window.partitionBy("agency").orderBy("scan_month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -102,9 +105,9 @@ def undated_closure_rate_by_join(house: Warehouse) -> DataFrame:
 def composition_drift(house: Warehouse) -> DataFrame:
     """Shares of the largest complaint types against the same month a year before."""
     config = house.config
-    base = house.described.select("complaint_type", "created_date")
-    largest = base.join(top_values(base, "complaint_type", config.drift_types), "complaint_type", "left_semi")
-    shares = monthly_shares(largest, "complaint_type", config, base)
+    base = described(house)
+    largest = base.join(top_values(base, "complaint_type", config.drift_types, "n"), "complaint_type", "left_semi")
+    shares = monthly_shares(largest, "complaint_type", base)
     # a year later is twelve rows of one table, not a second scan: shares are few
     before = shares.select("complaint_type", (F.col("month") + F.expr("interval 12 months")).cast("timestamp_ntz").alias("month"), F.col("pct_share").alias("before"))
     delta = F.col("pct_share") - F.col("before")
@@ -120,27 +123,21 @@ def composition_drift(house: Warehouse) -> DataFrame:
 
 
 def vocabulary_drift(house: Warehouse) -> DataFrame:
-    """Members of three dimensions that first appeared after the first month, all in one pass over the fact."""
-    config = house.config
-    month = month_of(F.col("created_date"), config.timezone)
+    """Members of three dimensions that first appeared after the first month."""
     names = ("agency", "complaint_type", "descriptor")
-    rows = house.described.groupBy(*names).agg(F.min(month).alias("first"), F.count(F.lit(1)).alias("n"))
+    rows = described(house)
     members = F.explode(F.array(*[F.struct(F.lit(n).alias("dimension"), F.col(n).alias("value")) for n in names])).alias("m")
-    seen = rows.select(members, "first", "n").where("m.value is not null")
-    seen = seen.groupBy("m.dimension", "m.value").agg(F.min("first").alias("first_seen_month"), F.sum("n").alias("volume_to_date"))
-    start = rows.agg((F.min("first") + F.expr("interval 1 month")).cast("timestamp_ntz").alias("start"))  # one row
+    seen = rows.select(members, "month", "n").where("m.value is not null")
+    seen = seen.groupBy("m.dimension", "m.value").agg(F.min("month").alias("first_seen_month"), F.sum("n").alias("volume_to_date"))
+    start = rows.agg((F.min("month") + F.expr("interval 1 month")).cast("timestamp_ntz").alias("start"))  # one row
     return seen.crossJoin(F.broadcast(start)).where("first_seen_month >= start").drop("start")
 
 
 def settlement_completeness(house: Warehouse) -> DataFrame:
     """The share of each month's closed requests that were last touched within the settlement days."""
     config = house.config
-    touched = days_crossed(F.col("created_date"), F.col("updated_at"), config.timezone)
-    cohorts = (
-        house.fact.where("status = 'Closed'")
-        .groupBy(month_of(F.col("created_date"), config.timezone).alias("cohort_month"))
-        .agg(F.count(F.lit(1)).alias("closed_rows"), count_where(touched <= config.completeness_days).alias("observable_by_45d"))
-    )
+    closed = house.cells.where("closed > 0").groupBy(F.col("month").alias("cohort_month"))
+    cohorts = closed.agg(F.sum("closed").alias("closed_rows"), F.sum("observable").alias("observable_by_45d"))
     day = F.to_date("cohort_month")
     newest = F.trunc(F.date_sub(F.lit(config.today), config.completeness_age_days), "month")
     eligible = cohorts.where((day >= F.lit(config.completeness_first)) & ~day.isin(*config.completeness_excluded) & (day <= newest))
@@ -157,8 +154,7 @@ def settlement_completeness(house: Warehouse) -> DataFrame:
 def mass_touch(house: Warehouse) -> DataFrame:
     """Hours in which many agencies' rows were touched at once, and far more of them than on ordinary nights."""
     config = house.config
-    touched = house.described.groupBy(hour_of(F.col("updated_at")).alias("hour_bucket"), "agency").agg(F.count(F.lit(1)).alias("n"))
-    hours = touched.groupBy("hour_bucket").agg(F.count_distinct("agency").alias("distinct_agencies"), F.sum("n").alias("total_rows"))
+    hours = house.touches.groupBy("hour_bucket").agg(F.count_distinct("agency").alias("distinct_agencies"), F.sum("n").alias("total_rows"))
     eligible = hours.where(F.col("distinct_agencies") >= config.touch_agencies)
     ordinary = eligible.where(F.col("total_rows") < config.touch_ordinary_below)
     limit = ordinary.agg((F.avg("total_rows") + F.lit(config.touch_sigmas) * F.stddev_pop("total_rows")).alias("limit"))  # one row
@@ -183,6 +179,6 @@ def month_start(config: Config, months: int = 0) -> Column:
 
 
 __all__ = [
-    "composition_drift", "latest", "mass_touch", "month_start", "monthly_shares", "settlement_completeness", "top_values", "trunc_naive", "undated_closure_rate",
+    "composition_drift", "described", "latest", "mass_touch", "month_start", "monthly_shares", "settlement_completeness", "top_values", "trunc_naive", "undated_closure_rate",
     "undated_closure_rate_by_join", "union_all", "vocabulary_drift",
 ]

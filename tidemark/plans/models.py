@@ -9,12 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.time import hours_crossed, local, localize
+from ..functions.numbers import count_where
+from ..functions.time import days_crossed, hour_of, hours_crossed, local, localize, month_of
 from . import contracts
 
 #: Degrees that enclose the city: fixed values.
 LATITUDES, LONGITUDES = (40.4959, 40.9153), (-74.2557, -73.7002)
 
+#: The tables that a warehouse writes, each made of those before it.
+TABLES = ("agencies", "types", "locations", "dates", "fact", "cells", "touches")
+
 _TRIMMED = ("descriptor_2", "status", "borough")
 _UPPER = ("complaint_type", "descriptor", "city")
 _LOCAL = ("created_date", "closed_date", "due_date", "resolution_action_updated_date")
@@ -125,6 +129,30 @@ def fact(staged: DataFrame, agencies: DataFrame, types: DataFrame, locations: Da
     return contracts.enforce(rows.select(*contracts.FACT), "fct_service_requests")
 
 
+def monthly_cells(fact: DataFrame, agencies: DataFrame, types: DataFrame, config: Config) -> DataFrame:
+    """Counts of requests by local month of creation, agency and complaint type: what detectors, checks and shares read.
+
+    The fact is counted by its keys first, so the dimensions are joined with the few cells and not with the requests.
+    Cells of requests without an agency or a type are kept, with null names.
+    """
+    closed = F.col("status") == "Closed"
+    in_time = days_crossed(F.col("created_date"), F.col("updated_at"), config.timezone) <= config.completeness_days
+    counted = fact.groupBy(month_of(F.col("created_date"), config.timezone).alias("month"), "agency_key", "complaint_type_key").agg(
+        F.count(F.lit(1)).alias("n"),
+        count_where(closed).alias("closed"),
+        count_where(closed & F.col("closed_date").isNull()).alias("undated"),
+        count_where(closed & in_time).alias("observable"),
+    )
+    named = counted.join(agencies.select("agency_key", "agency"), "agency_key", "left").join(types, "complaint_type_key", "left")
+    return named.select("month", "agency", "complaint_type", "descriptor", "n", "closed", "undated", "observable")
+
+
+def hourly_touches(fact: DataFrame, agencies: DataFrame) -> DataFrame:
+    """Counts of requests by the hour of their last change and the agency; requests without an agency or type are left out."""
+    counted = fact.where("complaint_type_key is not null").groupBy(hour_of(F.col("updated_at")).alias("hour_bucket"), "agency_key").agg(F.count(F.lit(1)).alias("n"))
+    return counted.join(agencies.select("agency_key", "agency"), "agency_key").select("hour_bucket", "agency", "n")
+
+
 @dataclasses.dataclass
 class Warehouse:
     """All models over one bronze table, built lazily; tables that several models read can be replaced by written ones."""
@@ -169,11 +197,20 @@ class Warehouse:
         """The fact with its agency, complaint type and descriptor."""
         return self.fact.join(self.agencies.select("agency_key", "agency", "agency_name"), "agency_key").join(self.types, "complaint_type_key")
 
+    @cached_property
+    def cells(self) -> DataFrame:
+        return monthly_cells(self.fact, self.agencies, self.types, self.config)
+
+    @cached_property
+    def touches(self) -> DataFrame:
+        return hourly_touches(self.fact, self.agencies)
+
     def materialise(self, folder: str) -> Warehouse:
-        """Write the fact and the dimensions below a folder, and read them from there on; refuses a folder in use."""
+        """Write the tables below a folder, and read them from there on; refuses a folder in use."""
         spark = self.bronze.sparkSession
-        self.__dict__.pop("fact", None)  # the fact is to be joined with the written dimensions
-        for name in ("agencies", "types", "locations", "dates", "fact"):
+        for name in ("fact", "cells", "touches"):  # these are to be made of written tables
+            self.__dict__.pop(name, None)
+        for name in TABLES:
             table = getattr(self, name)
             table.write.mode("errorifexists").parquet(f"{folder}/{name}")
             self.__dict__[name] = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
@@ -182,4 +219,4 @@ class Warehouse:
 
     def use_tables(self, other: Warehouse) -> None:
         """Read the tables that another warehouse over the same rows has written."""
-        self.__dict__.update({name: other.__dict__[name] for name in ("agencies", "types", "locations", "dates", "fact")})
+        self.__dict__.update({name: other.__dict__[name] for name in TABLES})

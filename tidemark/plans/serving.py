@@ -64,11 +64,10 @@ def missing_coordinates(house: Warehouse) -> DataFrame:
 
 def seasonality(house: Warehouse, types: int = 10) -> DataFrame:
     """Shares of the largest types in each whole month: the first and the last month of data are partial and go."""
-    rows = house.fact.join(house.types.select("complaint_type_key", "complaint_type"), "complaint_type_key")
-    largest = rows.join(detectors.top_values(rows, "complaint_type", types), "complaint_type", "left_semi")
-    shares = detectors.monthly_shares(largest, "complaint_type", house.config, house.fact)
-    month = month_of(F.col("created_date"), house.config.timezone)
-    ends = house.fact.agg(F.min(month).alias("first"), F.max(month).alias("last"))  # one row
+    rows = house.cells.where("complaint_type is not null")
+    largest = rows.join(detectors.top_values(rows, "complaint_type", types, "n"), "complaint_type", "left_semi")
+    shares = detectors.monthly_shares(largest, "complaint_type", house.cells)
+    ends = house.cells.agg(F.min("month").alias("first"), F.max("month").alias("last"))  # one row
     return (
         shares.crossJoin(F.broadcast(ends))
         .where("month > first and month < last")

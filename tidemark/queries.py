@@ -39,7 +39,7 @@ def marts(spark: SparkSession, folder: str, **changed: object) -> Warehouse:
     made = house(spark, folder, **changed)
     files = tuple(Store(spark, folder).stamps(f"{t}.parquet") for t in SOURCES)
     # of the parameters, only these go into the tables
-    key = (spark.sparkContext.applicationId, folder, files, made.config.as_of, made.config.timezone, made.config.settlement_days)
+    key = (spark.sparkContext.applicationId, folder, files, made.config.as_of, made.config.timezone, made.config.settlement_days, made.config.completeness_days)
     if key not in _BUILT:
         _BUILT[key] = house(spark, folder, **changed).materialise(scratch_folder(spark))
     made.use_tables(_BUILT[key])
@@ -85,7 +85,6 @@ _of_house("Q7_dim_date", lambda h: h.dates)
 _of_house("Q8_fact", lambda h: h.fact)
 _of_marts("Q9_undated_closure_rate", detectors.undated_closure_rate)
 _of_marts("Q9_undated_closure_rate_one_sigma", detectors.undated_closure_rate, rate_sigmas=1.0)
-_of_marts("J8_undated_closure_rate_by_join", detectors.undated_closure_rate_by_join)
 _of_marts("Q10_composition_drift", detectors.composition_drift)
 _of_marts("Q11_vocabulary_drift", detectors.vocabulary_drift)
 _of_marts("Q12_settlement_completeness", detectors.settlement_completeness)
@@ -98,7 +97,7 @@ _of_marts("Q20_geo_equity", serving.geo_equity)
 _of_marts("Q20_missing_coordinates", serving.missing_coordinates)
 _of_marts("Q21_seasonality", serving.seasonality)
 _of_marts("Q22_naive_vs_correct", serving.naive_vs_correct)
-_of_marts("Q23_mass_touch_fired", lambda h: detectors.mass_touch(h).where("fired"))
+_of_marts("Q23_mass_touch_fired", lambda h: detectors.mass_touch(h).where("fired"), touch_sigmas=1.0)  # three: no row in the sample
 _of_marts("Q24_type_share", lambda h: serving.type_share(serving.seasonality(h), "1-URGENT"))
 _of_marts("Q24_monthly_volume", lambda h: serving.monthly_volume(serving.seasonality(h)))
 _of_house("Q27_quality_baseline", lambda h: serving.quality_baseline(h.bronze))

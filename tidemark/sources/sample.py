@@ -1,7 +1,7 @@
 """Service requests made of the order tables, so that every model has input at any scale.
 
 Orders are requests: the customer's nation is the agency, its region the borough, the priority the complaint type, the
-market segment the descriptor, and the first shipment the closure.  Times of day, coordinates and touch times follow
+market segment the descriptor (with new members from 1997 on), and the first shipment the closure.  Times of day, coordinates and touch times follow
 from the order key.
 """
 
@@ -52,7 +52,7 @@ def sample_bronze(spark: SparkSession, folder: str) -> DataFrame:
         "agency": F.col("n_name"),
         "agency_name": F.concat(F.lit("Department of "), F.col("n_name")),
         "complaint_type": F.concat(F.lit(" "), F.lower("o_orderpriority")),
-        "descriptor": F.when(key % 50 != 0, F.col("c_mktsegment")),
+        "descriptor": F.when(key % 50 != 0, F.concat("c_mktsegment", F.when((key % 97 == 0) & (F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz")), " NEW").otherwise(""))),
         "incident_zip": F.lpad((F.col("o_custkey") % 100000).cast("string"), 5, "0"),
         "status": F.when(F.col("o_orderstatus") == "F", "Closed").when(F.col("o_orderstatus") == "O", "Open").otherwise("In Progress"),
         "community_board": F.concat_ws(" ", F.lpad((F.col("n_nationkey") % 12).cast("string"), 2, "0"), F.col("r_name")),
