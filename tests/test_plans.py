@@ -78,3 +78,17 @@ def test_the_remote_warehouse_must_be_asked_for():
     assert warehouse_uri({"KEY": "x", "TIDEMARK_REMOTE": "1"}, "local", "remote", ("KEY",)) == "remote"
     with pytest.raises(RuntimeError, match="KEY"):
         warehouse_uri({"TIDEMARK_REMOTE": "1"}, "local", "remote", ("KEY",))
+
+
+def test_running_sums_equal_the_join_that_defines_them(spark, small):
+    h = house(spark, small)
+    first, second = (sorted(map(str, f(h).collect())) for f in (detectors.undated_closure_rate, detectors.undated_closure_rate_by_join))
+    assert first == second and len(first) > 100
+
+
+def test_cells_add_up_to_the_fact(spark, small):
+    h = house(spark, small)
+    n = h.fact.count()
+    one = h.cells.selectExpr("sum(n) as n", "sum(closed) as closed", "sum(undated) as undated").first()
+    assert one.n == n == h.touches.selectExpr("sum(n) as n").first().n and one.closed == h.fact.where("status = 'Closed'").count()
+    assert one.undated == h.fact.where("is_undated_closure").count()

@@ -40,16 +40,13 @@ def monthly_shares(cells: DataFrame, column: str, of_all: DataFrame | None = Non
     return shares.withColumn("pct_share", percent(F.col("n"), F.col("total")))
 
 
-def _thresholds(rates: DataFrame, config: Config) -> DataFrame:
-    ordinary = rates.where(~F.col("agency").isin(*config.rate_excluded_agencies))
-    limit = F.avg("rate_pct") + F.lit(config.rate_sigmas) * F.stddev_pop("rate_pct")
-    return ordinary.groupBy("scan_month").agg(limit.alias("threshold"))
-
-
 def _judged_rates(evaluated: DataFrame, config: Config) -> DataFrame:
     rate = F.when(F.col("closed_rows") > 0, percent(F.col("undated_closure_rows"), F.col("closed_rows")))
-    rates = evaluated.withColumn("rate_pct", rate)
-    judged = rates.join(_thresholds(rates, config), "scan_month")
+    month = Window.partitionBy("scan_month")  # as many rows as there are agencies
+    ordinary = ~F.col("agency").isin(*config.rate_excluded_agencies)
+    known = F.when(ordinary, F.col("rate_pct"))
+    limit = F.avg(known).over(month) + F.lit(config.rate_sigmas) * F.stddev_pop(known).over(month)
+    judged = evaluated.withColumn("rate_pct", rate).withColumns({"threshold": limit, "ordinary": count_where(ordinary).over(month)}).where("ordinary > 0")
     return judged.select(
         "scan_month",
         "agency",
@@ -108,10 +105,10 @@ def composition_drift(house: Warehouse) -> DataFrame:
     base = described(house)
     largest = base.join(top_values(base, "complaint_type", config.drift_types, "n"), "complaint_type", "left_semi")
     shares = monthly_shares(largest, "complaint_type", base)
-    # a year later is twelve rows of one table, not a second scan: shares are few
-    before = shares.select("complaint_type", (F.col("month") + F.expr("interval 12 months")).cast("timestamp_ntz").alias("month"), F.col("pct_share").alias("before"))
+    # the row of exactly twelve months before, if there is one
+    year_ago = Window.partitionBy("complaint_type").orderBy(F.year("month") * 12 + F.month("month")).rangeBetween(-12, -12)
     delta = F.col("pct_share") - F.col("before")
-    return shares.join(before, ["complaint_type", "month"]).select(
+    return shares.withColumn("before", F.max("pct_share").over(year_ago)).where("before is not null").select(
         "month",
         "complaint_type",
         F.col("n").alias("volume"),
@@ -164,9 +161,9 @@ def mass_touch(house: Warehouse) -> DataFrame:
 
 
 def latest(rows: DataFrame, column: str) -> DataFrame:
-    """The rows of the newest value of a column."""
-    newest = rows.agg(F.max(column).alias(column))
-    return rows.join(F.broadcast(newest), column)  # one row
+    """The rows of the newest value of a column, of a detector's few rows: in one pass over what makes them."""
+    newest = F.max(column).over(Window.partitionBy())
+    return rows.withColumn("newest_", newest).where(F.col(column) == F.col("newest_")).drop("newest_")
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

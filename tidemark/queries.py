@@ -36,12 +36,13 @@ def marts(spark: SparkSession, folder: str, **changed: object) -> Warehouse:
 
     Detectors, checks, metrics and serving tables read these: as views, each of them would build the fact again.
     """
-    made = house(spark, folder, **changed)
+    config = dataclasses.replace(SAMPLE, **changed)
     files = tuple(Store(spark, folder).stamps(f"{t}.parquet") for t in SOURCES)
     # of the parameters, only these go into the tables
-    key = (spark.sparkContext.applicationId, folder, files, made.config.as_of, made.config.timezone, made.config.settlement_days, made.config.completeness_days)
+    key = (spark.sparkContext.applicationId, folder, files, config.as_of, config.timezone, config.settlement_days, config.completeness_days)
     if key not in _BUILT:
         _BUILT[key] = house(spark, folder, **changed).materialise(scratch_folder(spark))
+    made = Warehouse(_BUILT[key].bronze, config)
     made.use_tables(_BUILT[key])
     return made
 
