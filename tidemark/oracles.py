@@ -217,6 +217,12 @@ history as (select s.check_name, s.category, s.grain, s.measured_value + r.i as
     s.acknowledged_date, r.day as run_date, s.run_timestamp - to_days(cast(7 * r.i as integer)) as run_timestamp from scorecard s cross join runs r where r.i > 0),
 merged as (select * from scorecard union all select * from history where run_date >= date '2001-08-02' - interval 180 day)"""
 
+_LINES = """with ranked as (
+    select l_orderkey, l_linenumber, date_trunc('month', l_shipdate)::date as created_date, l_quantity, l_discount, l_returnflag, l_linestatus,
+        row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, date_trunc('month', l_shipdate) desc, l_quantity desc, l_discount desc, l_returnflag desc, l_linestatus desc) as rn
+    from lineitem
+), lines as (select * exclude (rn) from ranked where rn = 1)"""
+
 SQL: dict[str, str] = {
     "Q1_staging": f"{_FLAGS} select unique_key, created_date, closed_date, updated_at, agency, agency_name, complaint_type, descriptor, incident_zip, status, community_board, borough, latitude, longitude, has_valid_coordinates from staged",
     "Q2_resolution": f"{_FLAGS} select unique_key, created_date, closed_date, is_closed, is_settled, is_censored, is_undated_closure, resolution_hours from resolved",
@@ -318,4 +324,23 @@ SQL: dict[str, str] = {
             coalesce(b.l_quantity, t.l_quantity) as l_quantity,
             case when b.l_orderkey is null then 'kept' when t.l_orderkey is null then 'inserted' when t.l_quantity is distinct from b.l_quantity then 'updated' else 'same' end as change
         from target t full join batch b using (l_orderkey, l_linenumber)""",
+    "F19_decode": """select cast(o_orderkey as varchar) as unique_key, o_orderdate as created_date, case when o_orderkey % 7 <> 0 then o_orderdate end as closed_date,
+            o_orderdate as updated_at, case when o_orderkey % 5 <> 0 then o_orderkey / 8 end as latitude,
+            case when o_orderkey % 3 <> 0 then o_orderkey / 4 end as location_lon, case when o_orderkey % 3 <> 0 then o_orderkey / 2 end as location_lat, null::varchar as agency
+        from orders""",
+    "F23_month_windows": """with ends as (select min(o_orderdate) as a, max(o_orderdate) as b from orders),
+        months as (select unnest(generate_series(date_trunc('month', a)::timestamp, b::timestamp, interval '1 month')) as m, a, b from ends)
+        select strftime(m, '%Y-%m') as label, greatest(m, a::timestamp) as start, least(m + interval '1 month', b::timestamp) as end from months where greatest(m, a::timestamp) < least(m + interval '1 month', b::timestamp)""",
+    "SK3_upsert_table": f"""{_LINES}, target as (select * from lines where l_returnflag <> 'N'),
+        batch as (select * replace (case when l_discount > 0.05 then l_quantity + 1 else l_quantity end as l_quantity) from lines where l_linestatus = 'O' or l_returnflag = 'R')
+        select l_orderkey, l_linenumber, created_date, l_quantity, l_returnflag from batch
+        union all select l_orderkey, l_linenumber, created_date, l_quantity, l_returnflag from target t
+            where not exists (select 1 from batch b where b.l_orderkey = t.l_orderkey and b.l_linenumber = t.l_linenumber)""",
+    "SK5_table_versions": f"""{_LINES}, one as (select * from lines where l_returnflag = 'A'), two as (select * from one union all select * from lines where l_returnflag = 'R'),
+        three as (select * from two where created_date >= date '1994-01-01' union all select * from lines where l_returnflag = 'N' and created_date < date '1996-01-01'),
+        four as (select * from three where l_quantity <= 40)
+        {" union all ".join(f"select {k} as version, count(*) as n, sum(l_quantity) as quantity, max(created_date) as newest from {t}" for k, t in enumerate(("one", "two", "three", "four"), 1))}""",
+    "SC6_table_months": f"{_LINES} select created_date, count(*) as n from lines where extract(year from created_date) = 1995 group by 1",
+    "SC8_seed_file": "select n_name, case when n_nationkey % 5 <> 0 then n_nationkey::bigint end as number from nation",
+    "SC17_arrow_relation": "select r_name, count(*) as nations from nation join region on n_regionkey = r_regionkey group by 1",
 }

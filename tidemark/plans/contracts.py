@@ -5,38 +5,125 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 # Names, order and types of the models' columns.
-_TEXT_49 = "agency agency_name complaint_type descriptor descriptor_2 location_type incident_zip incident_address street_name cross_street_1 cross_street_2 intersection_street_1 intersection_street_2 address_type city landmark facility_type status resolution_description community_board council_district police_precinct bbl borough"
 STAGING = {
     "unique_key": "string",
-    **dict.fromkeys("created_date closed_date due_date resolution_action_updated_date updated_at".split(), "timestamp"),
-    **dict.fromkeys(_TEXT_49.split(), "string"),
-    **dict.fromkeys("x_coordinate_state_plane y_coordinate_state_plane".split(), "double"),
-    **dict.fromkeys("open_data_channel_type park_facility_name park_borough vehicle_type taxi_company_borough taxi_pick_up_location bridge_highway_name bridge_highway_direction road_ramp bridge_highway_segment".split(), "string"),
-    **dict.fromkeys("latitude longitude".split(), "double"),
+    "created_date": "timestamp",
+    "closed_date": "timestamp",
+    "due_date": "timestamp",
+    "resolution_action_updated_date": "timestamp",
+    "updated_at": "timestamp",
+    "agency": "string",
+    "agency_name": "string",
+    "complaint_type": "string",
+    "descriptor": "string",
+    "descriptor_2": "string",
+    "location_type": "string",
+    "incident_zip": "string",
+    "incident_address": "string",
+    "street_name": "string",
+    "cross_street_1": "string",
+    "cross_street_2": "string",
+    "intersection_street_1": "string",
+    "intersection_street_2": "string",
+    "address_type": "string",
+    "city": "string",
+    "landmark": "string",
+    "facility_type": "string",
+    "status": "string",
+    "resolution_description": "string",
+    "community_board": "string",
+    "council_district": "string",
+    "police_precinct": "string",
+    "bbl": "string",
+    "borough": "string",
+    "x_coordinate_state_plane": "double",
+    "y_coordinate_state_plane": "double",
+    "open_data_channel_type": "string",
+    "park_facility_name": "string",
+    "park_borough": "string",
+    "vehicle_type": "string",
+    "taxi_company_borough": "string",
+    "taxi_pick_up_location": "string",
+    "bridge_highway_name": "string",
+    "bridge_highway_direction": "string",
+    "road_ramp": "string",
+    "bridge_highway_segment": "string",
+    "latitude": "double",
+    "longitude": "double",
     "has_valid_coordinates": "boolean",
-    **dict.fromkeys("computed_region_community_districts computed_region_borough_boundaries computed_region_police_precincts computed_region_city_council_districts".split(), "double"),
-}
+    "computed_region_community_districts": "double",
+    "computed_region_borough_boundaries": "double",
+    "computed_region_police_precincts": "double",
+    "computed_region_city_council_districts": "double",
+}
 RESOLUTION = {
-    "unique_key": "string", "created_date": "timestamp", "closed_date": "timestamp", "is_closed": "boolean", "is_settled": "boolean", "is_censored": "boolean",
-    "is_undated_closure": "boolean", "resolution_hours": "bigint",
-}
+    "unique_key": "string",
+    "created_date": "timestamp",
+    "closed_date": "timestamp",
+    "is_closed": "boolean",
+    "is_settled": "boolean",
+    "is_censored": "boolean",
+    "is_undated_closure": "boolean",
+    "resolution_hours": "bigint",
+}
 GEOGRAPHY = {
-    "unique_key": "string", "borough": "string", "community_board": "string", "incident_zip": "string", "latitude": "double", "longitude": "double",
+    "unique_key": "string",
+    "borough": "string",
+    "community_board": "string",
+    "incident_zip": "string",
+    "latitude": "double",
+    "longitude": "double",
     "has_valid_coordinates": "boolean",
-}
-AGENCY = {"agency_key": "bigint", "agency": "string", "agency_name": "string"}
-COMPLAINT_TYPE = {"complaint_type_key": "bigint", "complaint_type": "string", "descriptor": "string"}
-LOCATION = {"location_key": "bigint", "community_board": "string", "borough": "string"}
+}
+AGENCY = {
+    "agency_key": "bigint",
+    "agency": "string",
+    "agency_name": "string",
+}
+COMPLAINT_TYPE = {
+    "complaint_type_key": "bigint",
+    "complaint_type": "string",
+    "descriptor": "string",
+}
+LOCATION = {
+    "location_key": "bigint",
+    "community_board": "string",
+    "borough": "string",
+}
 DATE = {
-    "date_key": "date", "calendar_date": "date", "year": "bigint", "quarter": "bigint", "month": "bigint", "month_name": "string", "day_of_month": "bigint",
-    "day_of_week": "bigint", "day_name": "string", "is_weekend": "boolean", "season": "string",
-}
+    "date_key": "date",
+    "calendar_date": "date",
+    "year": "bigint",
+    "quarter": "bigint",
+    "month": "bigint",
+    "month_name": "string",
+    "day_of_month": "bigint",
+    "day_of_week": "bigint",
+    "day_name": "string",
+    "is_weekend": "boolean",
+    "season": "string",
+}
 FACT = {
-    "unique_key": "string", "agency_key": "bigint", "complaint_type_key": "bigint", "location_key": "bigint", "date_key": "date", "created_date": "timestamp",
-    "closed_date": "timestamp", "updated_at": "timestamp", "resolution_hours": "bigint", "is_closed": "boolean", "is_censored": "boolean", "is_settled": "boolean",
-    "is_undated_closure": "boolean", "has_valid_coordinates": "boolean", "latitude": "double", "longitude": "double", "incident_zip": "string", "status": "string",
+    "unique_key": "string",
+    "agency_key": "bigint",
+    "complaint_type_key": "bigint",
+    "location_key": "bigint",
+    "date_key": "date",
+    "created_date": "timestamp",
+    "closed_date": "timestamp",
+    "updated_at": "timestamp",
+    "resolution_hours": "bigint",
+    "is_closed": "boolean",
+    "is_censored": "boolean",
+    "is_settled": "boolean",
+    "is_undated_closure": "boolean",
+    "has_valid_coordinates": "boolean",
+    "latitude": "double",
+    "longitude": "double",
+    "incident_zip": "string",
+    "status": "string",
     "borough": "string",
-}
+}
 
 ALL = {
     "stg_service_requests": STAGING, "int_request_resolution": RESOLUTION, "int_request_geography": GEOGRAPHY, "dim_agency": AGENCY,

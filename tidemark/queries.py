@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.numbers import rounded
-from .functions.time import anchor_column, naive_utc
+from .functions.time import anchor_column, month_windows, naive_utc
 from .operators.history import merged
-from .operators.upsert import changes, newest_by_key
+from .operators.table import VersionedTable
+from .operators.upsert import changes, newest_by_key, scoped_upsert
 from .plans import assertions, checks, detectors, metrics, scorecard, serving
+from .plans.detectors import union_all
 from .plans.models import Warehouse, recent_slice
 from .session import prepared, scratch_folder, written
 from .sources import probes
 from .sources.files import Store
+from .sources.schema import decode_json
 from .sources.sample import SAMPLE, SOURCES, sample_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,6 +221,103 @@ def _upsert(spark: SparkSession, folder: str) -> DataFrame:
     return changes(newest.where("l_returnflag <> 'N'").select(columns), batch, keys).drop("old")
 
 
+@_query("F19_decode")
+def _decode(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as the source's JSON objects of strings, some of them empty, decoded to typed columns."""
+    key = F.col("o_orderkey")
+    text = lambda c, every: F.when(key % every == 0, "").otherwise(c)
+    stamp = F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    orders = prepared(spark).read.parquet(f"{folder}/orders.parquet")
+    rows = orders.select(
+        F.to_json(
+            F.struct(
+                key.cast("string").alias("unique_key"),
+                stamp.alias("created_date"),
+                text(stamp, 7).alias("closed_date"),
+                F.concat(stamp, F.lit("Z")).alias(":updated_at"),
+                text((key / 8).cast("string"), 5).alias("latitude"),
+                F.when(key % 3 != 0, F.struct(F.array((key / 4).cast("double"), (key / 2).cast("double")).alias("coordinates"))).alias("location"),
+            )
+        ).alias("json")
+    )
+    decoded = decode_json(rows).select("unique_key", "created_date", "closed_date", "updated_at", "latitude", "location_lon", "location_lat", "agency")
+    return _plain(decoded)
+
+
+@_query("F23_month_windows")
+def _windows(spark: SparkSession, folder: str) -> DataFrame:
+    """The months of the orders, clipped to the first and the last one's time."""
+    first, last = prepared(spark).read.parquet(f"{folder}/orders.parquet").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    naive = lambda x: dt.datetime(x.year, x.month, x.day)
+    return spark.createDataFrame(list(month_windows(naive(first), naive(last))), "label string, start timestamp_ntz, end timestamp_ntz")
+
+
+def _monthly_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with their month as the day of the partition."""
+    lines = prepared(spark).read.parquet(f"{folder}/lineitem.parquet")
+    month = F.trunc(F.to_date("l_shipdate"), "month").alias("created_date")
+    rows = lines.select("l_orderkey", "l_linenumber", month, "l_quantity", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+    return newest_by_key(rows, ["l_orderkey", "l_linenumber"], "l_shipdate").drop("l_shipdate")
+
+
+def _lines_table(spark: SparkSession, rows: DataFrame) -> VersionedTable:
+    table = VersionedTable.create(spark, scratch_folder(spark), rows.schema, "created_date")
+    table.append(rows)
+    return table
+
+
+@_query("SK3_upsert_table")
+def _upsert_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A written table after a scoped upsert, and the same batch again, which changes nothing."""
+    lines = _monthly_lines(spark, folder)
+    table = _lines_table(spark, lines.where("l_returnflag <> 'N'"))
+    restated = F.when(F.col("l_discount") > 0.05, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    batch = lines.where("l_linestatus = 'O' or l_returnflag = 'R'").withColumn("l_quantity", restated)
+    scoped_upsert(table, batch, ["l_orderkey", "l_linenumber"])
+    scoped_upsert(table, batch, ["l_orderkey", "l_linenumber"])
+    return table.read().select("l_orderkey", "l_linenumber", "created_date", "l_quantity", "l_returnflag")
+
+
+@_query("SK5_table_versions")
+def _table_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Append, overwrite by filter, delete by filter: the rows and sums of every version, read back in time."""
+    lines = _monthly_lines(spark, folder)
+    table = _lines_table(spark, lines.where("l_returnflag = 'A'"))
+    table.append(lines.where("l_returnflag = 'R'"))
+    table.overwrite_where(F.col("created_date") < dt.date(1994, 1, 1), lines.where("l_returnflag = 'N' and created_date < date'1996-01-01'"))
+    table.delete_where(F.col("l_quantity") > 40)
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"), F.max("created_date").alias("newest")]
+    return union_all([table.read(version=v).agg(*sums).select(F.lit(v).alias("version"), "*") for v in table.versions()[1:]])
+
+
+@_query("SC6_table_months")
+def _table_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Some months of a written table: only their folders are read."""
+    table = _lines_table(spark, _monthly_lines(spark, folder))
+    rows = table.read(between=(dt.date(1995, 1, 1), dt.date(1995, 12, 31)))
+    return rows.groupBy("created_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("SC8_seed_file")
+def _seed_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations written as a CSV file, read back as text and cast, with what is no number as null."""
+    nations = prepared(spark).read.parquet(f"{folder}/nation.parquet")
+    path = scratch_folder(spark)
+    odd = F.when(F.col("n_nationkey") % 5 == 0, "none").otherwise(F.col("n_nationkey").cast("string"))
+    nations.select(odd.alias("number"), "n_name").write.option("header", True).csv(path)
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select("n_name", F.expr("try_cast(number as bigint)").alias("number"))
+
+
+@_query("SC17_arrow_relation")
+def _arrow_relation(spark: SparkSession, folder: str) -> DataFrame:
+    """A small Arrow table (the regions) as a relation, joined with a scan."""
+    regions = prepared(spark).read.parquet(f"{folder}/region.parquet").select("r_regionkey", "r_name").toArrow()
+    small = spark.createDataFrame(regions)
+    nations = spark.read.parquet(f"{folder}/nation.parquet")
+    return nations.join(small, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.count(F.lit(1)).alias("nations"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
