@@ -46,6 +46,9 @@ from .components import connected_components
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LZ_BITS, _MANTISSA_BITS = 6, 10
 
+#: Members of a bucket or cluster that are compared with as many others in one task.
+BLOCK = 1024
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (splitmix64)."""
@@ -245,7 +248,7 @@ class _Block:
         return out
 
 
-def _across(members: DataFrame, threshold: float, registers: int, block: int = 512) -> DataFrame:
+def _across(members: DataFrame, threshold: float, registers: int, block: int = BLOCK) -> DataFrame:
     """Links by estimate that connect members (bucket, id, component, n_shingles, sketch) of one bucket."""
     kind = to_arrow_type(members.schema["id"].dataType)
 
@@ -257,7 +260,7 @@ def _across(members: DataFrame, threshold: float, registers: int, block: int = 5
     return _blocks(members, "bucket", block).groupBy("bucket", "i", "j").applyInArrow(compare, f"a {name}, b {name}")
 
 
-def _partnered(clusters: DataFrame, threshold: float, registers: int, block: int = 512) -> DataFrame:
+def _partnered(clusters: DataFrame, threshold: float, registers: int, block: int = BLOCK) -> DataFrame:
     """Of each pair of blocks of a cluster (cluster, id, component, n_shingles, sketch), the members with a likely partner in it."""
     dealt = _blocks(clusters, "cluster", block).select("cluster", "i", "j", "own", "id", "component", "n_shingles", "sketch")
     return dealt.groupBy("cluster", "i", "j").applyInArrow(lambda table: table.filter(pa.array(_Block(table, registers, threshold).with_partners())), dealt.schema)
