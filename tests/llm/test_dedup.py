@@ -130,3 +130,15 @@ def test_small_results_of_many_tasks(spark):
     dropped(rows)
     plain = staged(spark.range(3), "test-plain")
     assert plain.count() == 3
+
+
+def test_buckets_of_several_blocks(docs, monkeypatch):
+    """Blocks of three members, in buckets far larger than one."""
+    from tidemark.llm import minhash
+
+    for f in (minhash._across, minhash._partnered):
+        monkeypatch.setattr(f, "__defaults__", (3,))
+    r = random.Random(11)
+    texts = family(r, 25, 40, 6) + family(r, 25, 40, 12) + family(r, 10, 60, 3)
+    rows = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in near_duplicates(docs(*texts)).collect()}
+    assert rows == {i: (n, c, c == i) for i, (n, c) in enumerate(brute(texts))}
