@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, ship, staged
+from .common import dropped, map_arrow, ship, staged
 
 _UPPER, _DIGIT = slice(65, 91), slice(48, 58)
 _LOWER = slice(97, 123)
@@ -336,20 +336,16 @@ def held_out(id_column: Column) -> Column:
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def _featured(docs: DataFrame, columns: list[str], id_col: str, text_col: str) -> DataFrame:
-    """The columns as c0, c1, ..; id, held_out, key (a hash of the text) and x, the statistics: written."""
-    text = F.col(f"`{text_col}`")
-    id_ = F.col(f"`{id_col}`")
-    own = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns) if c != text_col]
-    chosen = docs.select(*own, text.alias("text"), id_.alias("id"), held_out(id_).alias("held_out"), F.xxhash64(text).alias("key"))
-    kept = [T.StructField(f"c{k}", docs.schema[c].dataType) for k, c in enumerate(columns)]
-    schema = T.StructType([*kept, *(chosen.schema[c] for c in ("id", "held_out", "key")), T.StructField("x", T.BinaryType())])
-    source = {f.name: "text" if columns[k : k + 1] == [text_col] else f.name for k, f in enumerate(schema)}
+def _featured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, held_out, key (a hash of the text) and x, the statistics: written."""
+    text, id_ = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    chosen = docs.select(text.alias("text"), id_.alias("id"), held_out(id_).alias("held_out"), F.xxhash64(text).alias("key"))
+    schema = T.StructType([*(chosen.schema[c] for c in ("id", "held_out", "key")), T.StructField("x", T.BinaryType())])
 
     def each() -> Callable:
         def work(batch: pa.RecordBatch) -> dict:
             made = [text_statistics(t).tobytes() for t in batch["text"].to_pylist()]
-            return {c: batch[of] for c, of in source.items() if c != "x"} | {"x": pa.array(made, pa.binary())}
+            return {c: batch[c] for c in ("id", "held_out", "key")} | {"x": pa.array(made, pa.binary())}
 
         return work
 
@@ -405,7 +401,7 @@ def _train(features: DataFrame, labels: DataFrame, sample: int, id_col: str, lab
 
 def train_quality(docs: DataFrame, labels: DataFrame, sample: int = 8_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel | None:
     """Fit on at most `sample` trusted positives and all unlabelled documents; None without positives."""
-    return _train(_featured(docs, [], id_col, text_col), labels, sample, id_col, label_col)
+    return _train(_featured(docs, id_col, text_col), labels, sample, id_col, label_col)
 
 
 def _scored(model: QualityModel | None, x: np.ndarray) -> np.ndarray:
@@ -427,7 +423,7 @@ def quality_scores(
     label_col: str = "quality",
 ) -> DataFrame:
     """One row per document: id, held_out, score, predicted."""
-    features = _featured(docs, [], id_col, text_col)
+    features = _featured(docs, id_col, text_col)
     model = _train(features, labels, sample, id_col, label_col)
 
     def each() -> Callable:
@@ -450,17 +446,21 @@ def keep_quality(
     text_col: str = "text",
     label_col: str = "quality",
 ) -> DataFrame:
-    """The documents whose score reaches the threshold, with their own columns."""
-    columns = docs.columns
-    features = _featured(docs, columns, id_col, text_col)
+    """The documents whose score reaches the threshold, with their own columns.
+
+    Their statistics are made a second time for that: a copy of all texts beside the statistics would cost more disk.
+    """
+    features = _featured(docs, id_col, text_col)
     model = _train(features, labels, sample, id_col, label_col)
+    dropped(features)
+    columns = docs.columns
+    at = columns.index(text_col)
 
     def each() -> Callable:
         def work(batch: pa.RecordBatch) -> dict:
-            keep = pa.array(_scored(model, _matrix(batch["x"])) >= threshold)
+            keep = pa.array(score_texts(model, batch.column(at).to_pylist()) >= threshold)
             return {c: batch.column(k).filter(keep) for k, c in enumerate(columns)}
 
         return work
 
-    rows = features.select(*[f"c{k}" for k in range(len(columns))], "x")
-    return map_arrow(rows, each, T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema]), 1024)
+    return map_arrow(docs, each, T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema]), 256)
