@@ -123,7 +123,7 @@ def test_the_fit_covers_all_unlabelled_texts():
 
 def test_sums_in_the_cluster_equal_those_at_hand(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
-    features = _featured(docs, [], "doc_id", "text").where("id is not null and not held_out")
+    features = _featured(docs, "doc_id", "text").where("id is not null and not held_out")
     x = np.array([text_statistics(r.text) for r in docs.where("pmod(crc32(cast(doc_id as string)), 5) <> 0").collect()])
     got = spark_sums(features)(_counted)
     assert (got == _counted(x, x)).all()
