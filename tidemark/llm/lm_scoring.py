@@ -23,30 +23,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_arrow
-from .window_network import Encoder, fit_network
+from .window_network import Encoder, fit_network, slices
 
 
 def pseudo_likelihood(docs: DataFrame, window: int = 4, id_col: str = "doc_id", text_col: str = "text", **training) -> DataFrame:
     """One row per document: id, n_tokens, log_likelihood, mean_log_likelihood."""
     shared = docs.sparkSession.sparkContext.broadcast(fit_network(docs, window, text_col=text_col, **training))
 
-    encoders: list[Encoder] = []  # one for each worker, with its memory of hashes
-
-    def score(texts: list[str | None]) -> tuple[list[int], list[float]]:
+    def each() -> Callable:
         network = shared.value
-        if not encoders:
-            encoders.append(Encoder(network.units, network.window))
-        encoder = encoders[0]
-        ids = [encoder.words(t) for t in texts]
-        counts = [len(x) for x in ids]
-        sums = np.concatenate([[0.0], np.cumsum(network.log_probabilities(encoder.sequence(ids)), dtype=np.float64)])
-        ends = np.cumsum([0, *counts])
-        return counts, np.diff(sums[ends]).tolist()
+        encoder = Encoder(network.units, network.window)
+
+        def score(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            ids, counts = encoder.encode(texts)
+            sums = np.concatenate([[0.0], np.cumsum(network.log_probabilities(encoder.joined(ids, counts)), dtype=np.float64)])
+            return counts, np.diff(sums[np.concatenate([[0], np.cumsum(counts)])])
 
-    def each() -> Callable:
         def work(batch: pa.RecordBatch) -> dict:
-            counts, sums = score(batch["text"].to_pylist())
-            return {id_col: batch["id"], "n_tokens": counts, "log_likelihood": sums, "mean_log_likelihood": [s / n if n else None for s, n in zip(sums, counts, strict=True)]}
+            counts, sums = map(np.concatenate, zip(*map(score, slices(batch["text"])), strict=True))
+            means = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
+            return {id_col: batch["id"], "n_tokens": counts, "log_likelihood": sums, "mean_log_likelihood": means}
 
         return work
 

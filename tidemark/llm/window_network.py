@@ -17,17 +17,20 @@ holds is one model.  The average depends a little on how many tasks there are.
 from __future__ import annotations
 
 import dataclasses
+import itertools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
 
-DIM, BATCH, BLOCK, TOP = 16, 4096, 4096, 64
+DIM, BATCH, BLOCK, TOP = 16, 2048, 4096, 64
+LONG, SLICE = 64, 1 << 20  # bytes
 
 
 def units_for(n_bytes: int) -> int:
@@ -35,34 +38,74 @@ def units_for(n_bytes: int) -> int:
     return max(256, int(n_bytes**0.65 / 8))
 
 
-class _Hashes(dict):
-    """A memory of words' hashes."""
+_ROOT, _STEP, _LAST = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53))
 
-    def __init__(self, units: int) -> None:
-        self.units = units
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = unit = zlib.crc32(word) % self.units
-        return unit
+def hash_words(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words in bytes that go on for at least 8 more: eight bytes at a time for all words at once, by
+    crc32 one by one for the few above LONG bytes."""
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    out = lengths.astype(np.uint64) * _ROOT
+    live = np.flatnonzero(lengths <= LONG)
+    for done in range(0, LONG, 8):
+        live = live[lengths[live] > done]
+        if not len(live):
+            break
+        beyond = np.maximum(8 - (lengths[live] - done), 0).astype(np.uint64) * np.uint64(8)
+        mixed = (out[live] ^ (eights[starts[live] + done] << beyond)) * _STEP
+        out[live] = mixed ^ (mixed >> np.uint64(32))
+    for k in np.flatnonzero(lengths > LONG):
+        out[k] ^= np.uint64(zlib.crc32(data[starts[k] : starts[k] + lengths[k]]))
+    out *= _LAST
+    return out ^ (out >> np.uint64(29))
 
 
 class Encoder:
     """Texts to unit ids, with `window` boundaries (the id `units`) before, between and after them."""
 
     def __init__(self, units: int, window: int) -> None:
-        self.edge, self.hashes = [units] * window, _Hashes(units)
-
-    def words(self, text: str | None) -> list[int]:
-        return list(map(self.hashes.__getitem__, (text or "").encode().split()))
-
-    def sequence(self, texts: list[list[int]]) -> np.ndarray:
-        out = list(self.edge)
-        for ids in texts:
-            out += ids
-            out += self.edge
-        return np.array(out, np.int32)
+        self.units, self.window = units, window
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, in order, and how many each text has.  Words end at ASCII white space."""
+        texts = texts.fill_null("").cast(pa.large_string())
+        _, offsets, held = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+        n = int(bounds[-1] - bounds[0])
+        data = np.zeros(n + 8, np.uint8)
+        if n:
+            data[:n] = np.frombuffer(held, np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        inside = (data[:n] != 32) & (data[:n] - 9 > 4)  # unsigned: bytes below 9 wrap round
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+        cuts = bounds[(bounds > 0) & (bounds < n)]
+        first[cuts], last[cuts - 1] = inside[cuts], inside[cuts - 1]
+        starts = np.flatnonzero(first)
+        hashes = hash_words(data, starts, np.flatnonzero(last) + 1 - starts)
+        return (hashes % np.uint64(self.units)).astype(np.int32), np.diff(np.searchsorted(starts, bounds))
+
+    def words(self, text: str | None) -> np.ndarray:
+        return self.encode(pa.array([text], pa.string()))[0]
+
+    def sequence(self, texts: list[np.ndarray]) -> np.ndarray:
+        return self.joined(np.concatenate([np.empty(0, np.int32), *texts]), np.array([len(ids) for ids in texts], np.int64))
+
+    def joined(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The sequence of the texts that have words, from what `encode` gives."""
+        counts = counts[counts > 0]
+        out = np.full(len(ids) + self.window * (len(counts) + 1), self.units, np.int32)
+        out[np.arange(len(ids)) + self.window * np.repeat(np.arange(1, len(counts) + 1), counts)] = ids
+        return out
+
+
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in order, in slices of about SLICE bytes, so that memory follows the longest text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE)) + 1).tolist(), len(ends)]
+    for begin, end in itertools.pairwise(cuts):
+        yield texts.slice(begin, end - begin)
 
 
 class Tree:
@@ -110,26 +153,28 @@ class Tree:
             at[live] = parent[at[live]]
             to[live] += 1
             live = live[at[live] != root]
-        self.low = np.add.reduceat(self.nodes >= self.top, self.start).astype(np.int32)  # nodes of the path below the top
+        self.low = np.add.reduceat(self.nodes >= self.top, self.start).astype(np.int16)  # nodes of the path below the top
 
-    def paths(self, units: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], ...]:
-        """For the lower and the upper parts of the units' paths: which of the units, the nodes, the signs."""
-        start, low, depth = self.start[units], self.low[units], self.depth[units]
+    def upper(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For the upper parts of the units' paths: which of the units, the nodes, the signs."""
+        low, depth = self.low[units], self.depth[units]
+        which = np.repeat(np.arange(len(units)), depth - low)
+        at = np.arange(len(which)) + np.repeat(self.start[units] + depth - np.cumsum(depth - low), depth - low)
+        return which, self.nodes.take(at), self.sign.take(at)
 
-        def part(begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            which = np.repeat(np.arange(len(units)), length)
-            at = np.arange(len(which)) + np.repeat(begin - (np.cumsum(length) - length), length)
-            return which, self.nodes.take(at), self.sign.take(at).astype(np.float32)
 
-        return part(start, low), part(start + low, depth - low)
+def _softplus(x: np.ndarray) -> np.ndarray:
+    """log(1 + exp(x)) as doubles, for which log is much faster than log1p."""
+    return np.log(1 + np.exp(np.minimum(x, 80)).astype(np.float64))
 
 
 def _summed(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct rows, the sums of their values, and how often each occurs."""
-    order = np.argsort(rows)
-    rows = rows[order]
+    keys = np.sort(rows.astype(np.int64) << 32 | np.arange(len(rows)))  # faster than argsort
+    rows, order = keys >> 32, keys & 0xFFFFFFFF
     starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    return rows[starts], np.add.reduceat(values.take(order, axis=0), starts, axis=0), np.diff(np.append(starts, len(rows)))
+    sums = np.add.reduceat(values.take(order, axis=0).view(np.complex64), starts, axis=0).view(np.float32)  # two floats at once
+    return rows[starts], sums, np.diff(np.append(starts, len(rows)))
 
 
 @dataclasses.dataclass
@@ -166,97 +211,120 @@ class Network:
             h += self.place[p] * e[s : s + n]
         return e, shifts, h
 
-    def _paths(self, seq: np.ndarray, h: np.ndarray) -> tuple:
-        """The places with a word, their sums, and for the lower and the upper parts of the words' paths: which of the
-        places, the nodes, the signs and the scores, for the lower part with the vectors on both sides."""
+    def _words(self, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The places with a word, from the longest lower part of a path to the shortest, the words, and how many of
+        them have a first, second, ... node there: on every level these are the first places."""
         middle = seq[self.window : len(seq) - self.window]
         real = np.flatnonzero(middle < self.units)
-        own = h if len(real) == len(h) else h.take(real, axis=0)
-        (low_of, low, low_sign), (top_of, top, top_sign) = self.tree.paths(middle[real])
-        hs, outs = own.take(low_of, axis=0), self.table.take(low + (self.units + 1), axis=0)
-        low_z = low_sign * (np.einsum("ij,ij->i", hs, outs) + self.tree.odds.take(low))
-        upper = self.upper
-        flat = top_of * len(upper) + top
-        top_z = top_sign * ((own @ upper.T).ravel().take(flat) + self.tree.odds.take(top))
-        return real, own, (low_of, low, low_sign, low_z, hs, outs), (top, top_sign, top_z, flat, top_of)
+        low = self.tree.low[middle[real]]
+        real = real[np.argsort(-low, kind="stable")]
+        return real, middle[real], len(real) - np.cumsum(np.bincount(low))[:-1]
+
+    def _lower_level(self, at: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of these steps of paths, with the sums of their places: the rows, the signs, the vectors, the scores."""
+        nodes, sign = self.tree.nodes.take(at), self.tree.sign.take(at)
+        rows = nodes + (self.units + 1)
+        outs = self.table.take(rows, axis=0)
+        return rows, sign, outs, sign * (np.einsum("ij,ij->i", own, outs) + self.tree.odds.take(nodes))
+
+    def _upper_levels(self, words: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the upper parts of the paths: which of the words, the nodes, the signs, the scores."""
+        which, nodes, sign = self.tree.upper(words)
+        z = (own @ self.upper.T).ravel().take(which * self.tree.top + nodes)
+        return which, nodes, sign, sign * (z + self.tree.odds.take(nodes))
 
     @property
     def upper(self) -> np.ndarray:
         """The vectors of the upper inner nodes."""
         return self.table[self.units + 1 : self.units + 1 + self.tree.top]
 
+    def _minibatches(self, seq: np.ndarray) -> Iterator[np.ndarray]:
+        """The sequence in even parts of about BATCH places, with their neighbours."""
+        w = self.window
+        n = len(seq) - 2 * w
+        parts = max(1, round(n / BATCH))
+        for k in range(parts if n > 0 else 0):
+            yield seq[k * n // parts : (k + 1) * n // parts + 2 * w]
+
     def log_probabilities(self, seq: np.ndarray) -> np.ndarray:
         """For each word of the sequence, in order."""
-        w, out = self.window, [np.empty(0)]
-        for begin in range(w, len(seq) - w, BATCH):
-            piece = seq[begin - w : min(begin + BATCH, len(seq) - w) + w]
-            real, _, (low_of, _, _, low_z, _, _), (_, _, top_z, _, top_of) = self._paths(piece, self._sums(piece)[2])
-            of, z = np.concatenate([low_of, top_of]), np.concatenate([low_z, top_z])
-            out.append(-np.bincount(of, np.log1p(np.exp(np.minimum(-z, 80))), len(real)))
+        out = [np.empty(0)]
+        for piece in self._minibatches(seq):
+            real, words, levels = self._words(piece)
+            h = self._sums(piece)[2]
+            own, first = h.take(real, axis=0), self.tree.start[words]
+            losses = np.zeros(len(h))
+            which, _, _, z = self._upper_levels(words, own)
+            lost = np.bincount(which, _softplus(-z), len(real))
+            for k, m in enumerate(levels):
+                lost[:m] += _softplus(-self._lower_level(first[:m] + k, own[:m])[3])
+            losses[real] = lost
+            out.append(-losses[np.sort(real)])
         return np.concatenate(out)
 
     def train(self, seq: np.ndarray, touched: np.ndarray, rate: float = 0.1) -> None:
         """One step for each minibatch; touched: counts the uses of each row."""
-        w, first_node = self.window, self.units + 1
-        for begin in range(w, len(seq) - w, BATCH):
-            piece = seq[begin - w : min(begin + BATCH, len(seq) - w) + w]
-            e, shifts, h = self._sums(piece)
-            real, own, (low_of, low, low_sign, low_z, hs, outs), (top, top_sign, top_z, flat, _) = self._paths(piece, h)
+        for piece in self._minibatches(seq):
+            real, words, levels = self._words(piece)
             if not len(real):
                 continue
-            n, upper = len(h), self.upper
+            e, shifts, h = self._sums(piece)
+            n, upper, first_node = len(h), self.upper, self.units + 1
+            own, first = h.take(real, axis=0), self.tree.start[words]
+            which, top, sign, z = self._upper_levels(words, own)
             pull = np.zeros((len(real), len(upper)), np.float32)
-            pull.ravel()[flat] = top_sign / (1 + np.exp(np.clip(top_z, -30, 30)))
+            pull.ravel()[which * len(upper) + top] = sign / (1 + np.exp(np.clip(z, -30, 30)))
             d_own = pull @ upper
-            g = (low_sign / (1 + np.exp(np.clip(low_z, -30, 30))))[:, None]
-            if len(low_of):
-                begins = np.flatnonzero(np.concatenate([[True], low_of[1:] != low_of[:-1]]))
-                d_own[low_of[begins]] += np.add.reduceat(g * outs, begins, axis=0)
-            dh = d_own
-            if len(real) != n:
-                dh = np.zeros((n, DIM), np.float32)
-                dh[real] = d_own
-            de, dplace = np.zeros_like(e), np.empty_like(self.place)
+            # rows that are met, and what each use adds: the lower nodes level by level, then the neighbours
+            used = int(levels.sum())
+            rows, d = np.empty(used + len(piece), np.int32), np.empty((used + len(piece), DIM), np.float32)
+            begin = 0
+            for k, m in enumerate(levels):
+                rows[begin : begin + m], sign, outs, z = self._lower_level(first[:m] + k, own[:m])
+                g = (sign / (1 + np.exp(np.clip(z, -30, 30))))[:, None]
+                np.multiply(g, own[:m], out=d[begin : begin + m])
+                outs *= g
+                d_own[:m] += outs
+                begin += m
+            dh = np.zeros((n, DIM), np.float32)
+            dh[real] = d_own
+            rows[used:], de, dplace = piece, d[used:], np.empty_like(self.place)
+            de[:] = 0
             for p, s in enumerate(shifts):
                 de[s : s + n] += self.place[p] * dh
                 dplace[p] = np.einsum("ij,ij->j", dh, e[s : s + n])
             dplace[-1] = dh.sum(axis=0)
             above = slice(first_node, first_node + len(upper)), pull.T @ own, np.bincount(top, minlength=len(upper))
-            below = _summed(low + first_node, g * hs) if len(low) else None
-            for update in (above, below, _summed(piece, de)):
-                if update is not None:
-                    rows, d, times = update
-                    self.squares[rows] += np.einsum("ij,ij->i", d, d) / DIM
-                    self.table[rows] += rate * d / np.sqrt(self.squares[rows])[:, None]
-                    touched[rows] += times
+            for rows, d, times in (above, _summed(rows, d)):
+                self.squares[rows] += np.einsum("ij,ij->i", d, d) / DIM
+                self.table[rows] += rate * d / np.sqrt(self.squares[rows])[:, None]
+                touched[rows] += times
             self.place_squares += np.einsum("ij,ij->i", dplace, dplace) / DIM
             self.place += rate / 4 * dplace / np.sqrt(self.place_squares)[:, None]
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[np.ndarray]:
-    """The documents of a task, joined until a minibatch is full."""
+def _encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The documents of a task as `Encoder.encode` gives them, joined until a minibatch is full."""
     held, size = [], 0
     for batch in batches:
-        for text in batch["text"]:
-            ids = encoder.words(text.as_py())
-            if ids:
-                held.append(ids)
-                size += len(ids)
+        for part in slices(batch["text"]):
+            held.append(encoder.encode(part))
+            size += len(held[-1][0])
             if size >= BATCH:
-                yield encoder.sequence(held)
+                yield tuple(map(np.concatenate, zip(*held, strict=True)))
                 held, size = [], 0
-    if held:
-        yield encoder.sequence(held)
+    if size:
+        yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
 def unit_counts(docs: DataFrame, units: int) -> np.ndarray:
     """How often each unit occurs in all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, counts = Encoder(units, 1), np.zeros(units + 1, np.int64)
-        for seq in _sequences(batches, encoder):
-            counts += np.bincount(seq, minlength=units + 1)
-        at = np.flatnonzero(counts[:-1])
+        counts = np.zeros(units, np.int64)
+        for ids, _ in _encoded(batches, Encoder(units, 1)):
+            counts += np.bincount(ids, minlength=units)
+        at = np.flatnonzero(counts)
         for low in range(0, len(at), 100_000):
             part = at[low : low + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[part])], ["unit", "n"])
@@ -276,8 +344,9 @@ def _train_round(docs: DataFrame, network: Network) -> None:
         given = shared.value
         own = dataclasses.replace(given, table=given.table.copy(), squares=given.squares.copy(), place=given.place.copy(), place_squares=given.place_squares.copy())
         touched = np.zeros(len(own.table), np.float32)
-        for seq in _sequences(batches, Encoder(own.units, own.window)):
-            own.train(seq, touched)
+        encoder = Encoder(own.units, own.window)
+        for ids, counts in _encoded(batches, encoder):
+            own.train(encoder.joined(ids, counts), touched)
         if not touched.any():
             return
         for k, low in enumerate(range(0, len(touched), BLOCK)):
