@@ -1,5 +1,6 @@
 import hashlib
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,6 +133,32 @@ def test_small_results_of_many_tasks(spark):
     assert plain.count() == 3
 
 
+def test_staging_starts_few_processes(spark, tmp_path):
+    """Each process counts, until it runs its program, as another copy of the JVM that starts it: at most two a file."""
+    jvm, df = spark.sparkContext._jvm, spark.range(0, 4000, 1, 3).withColumn("text", F.sha2(F.col("id").cast("string"), 256))
+    at = lambda path: jvm.java.io.File(str(path)).toPath()
+    recording = jvm.jdk.jfr.Recording()
+    recording.enable("jdk.ProcessStart")
+    recording.start()
+    rows = staged(df, "test-processes")
+    recording.dump(at(tmp_path / "record.jfr"))
+    recording.close()
+    started = [e.getString("command") for e in jvm.jdk.jfr.consumer.RecordingFile.readAllEvents(at(tmp_path / "record.jfr"))]
+    assert len(rows.inputFiles()) == 3 and sum("test-processes" in c or "tidemark" in c for c in started) <= 6, started
+    assert sorted(rows.collect()) == sorted(df.collect())
+    dropped(rows)
+
+
+def test_damaged_staged_tables_are_not_read(spark):
+    rows = staged(spark.range(0, 4000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("text")), "test-damage")
+    file = Path(rows.inputFiles()[0].removeprefix("file:"))
+    held = bytearray(file.read_bytes())
+    held[len(held) // 2] ^= 1
+    file.write_bytes(held)
+    with pytest.raises(Exception, match="(?i)checksum|crc"):
+        rows.agg(F.max("text")).collect()
+
+
 def test_buckets_of_several_blocks(docs, monkeypatch):
     """Blocks of three members, in buckets far larger than one."""
     from tidemark.llm import minhash

@@ -17,6 +17,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 #: ASCII white space, the set of the contracts: [\x20\x09-\x0D].
 SPACE = "[ \\t\\n\\x0B\\f\\r]+"
 
+#: How staged tables are written.  In a local folder Hadoop starts a process (chmod) for each file and folder it makes;
+#: until that process runs its program it shares, and counts as, all memory of the executor or driver.  The raw file
+#: system makes no file of sums beside each file; the sums that Parquet keeps of its pages are verified instead.
+FEW_PROCESSES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem",
+    "fs.file.impl.disable.cache": "true",
+    "mapreduce.fileoutputcommitter.marksuccessfuljobs": "false",
+}
+VERIFIED = {"parquet.page.verify-checksum.enabled": "true"}
+
 #: Rows of a staged table in one file, where the number of rows is known.
 ROWS_A_FILE = 20_000
 
@@ -53,9 +63,10 @@ def staged(df: DataFrame, tag: str, rows: int | None = None) -> DataFrame:
         df = df.repartition(rows // ROWS_A_FILE + 1)
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidemark/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    _local_folders(spark, path)
+    df.write.options(**FEW_PROCESSES).mode("append").parquet(path)
     _file_system(spark, path).deleteOnExit(_hadoop_path(spark, path))
-    out = spark.read.schema(df.schema).parquet(path)
+    out = spark.read.options(**VERIFIED).schema(df.schema).parquet(path)
     out._tidemark_path = path
     return out
 
@@ -68,6 +79,12 @@ def dropped(*tables: DataFrame) -> None:
             _file_system(table.sparkSession, path).delete(_hadoop_path(table.sparkSession, path), True)
 
 
+def _local_folders(spark: SparkSession, path: str) -> None:
+    """Make a local folder, and those in which a job keeps what is not yet committed, without a process for each."""
+    if _file_system(spark, path).getScheme() == "file":
+        spark.sparkContext._jvm.java.io.File(_hadoop_path(spark, f"{path}/_temporary/0/_temporary").toUri().getPath()).mkdirs()
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
